@@ -37,35 +37,40 @@ def time_text(name: str) -> Column:
 
 
 def sets_of(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Raw workout rows of line items: three date formats, untidy names, loads with and without unit."""
-    named = lookup_join(
-        lineitem.withColumnRenamed("l_partkey", "p_partkey"), part.select("p_partkey", "p_name", "p_brand"),
-        ["p_partkey"], "inner",
-    )
-    line, supplier, name = F.col("l_linenumber"), F.col("l_suppkey"), F.col("p_name")
-    weight = text(F.col("l_quantity").cast("long") + 20)
+    """Raw workout rows of line items: three date formats, untidy names, loads with and without unit.
+
+    What depends on the part alone is spelled out on the side of the part, before the join.
+    """
+    name, kind = F.col("p_name"), F.col("p_partkey") % 4
     brand = F.replace("p_brand", F.lit("#"), F.lit(" "))
-    return named.select(
+    spelled = part.select(
+        "p_partkey",
+        F.array(
+            F.concat(F.lit("  "), name, F.lit(" ")),
+            F.upper(name),
+            F.replace(name, F.lit(" "), F.lit("   ")),
+            F.concat(name, F.lit("!")),
+            name,
+        ).alias("names"),
+        F.array(F.lower(brand), brand).alias("brands"),
+        F.when(kind == 0, ",5 kg").when(kind == 1, " LBS").when(kind == 3, "").alias("suffix"),
+    )
+    rows = lookup_join(lineitem.withColumnRenamed("l_partkey", "p_partkey"), spelled, ["p_partkey"], "inner")
+    line, supplier, amount = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_quantity").cast("long")
+    day = F.col("l_shipdate").cast("date")
+    return rows.select(
         text("l_orderkey").alias("workout_number"),
-        F.when(line % 3 == 0, F.date_format("l_shipdate", "MM/dd/yyyy"))
-        .when(line % 3 == 1, F.date_format("l_shipdate", "yyyy.MM.dd"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        F.when(line % 3 == 0, F.date_format(day, "MM/dd/yyyy"))
+        .when(line % 3 == 1, F.replace(text(day), F.lit("-"), F.lit(".")))
+        .otherwise(text(day))
         .alias("date"),
         text(line).alias("set_number"),
-        F.when(supplier % 5 == 0, F.concat(F.lit("  "), name, F.lit(" ")))
-        .when(supplier % 5 == 1, F.upper(name))
-        .when(supplier % 5 == 2, F.replace(name, F.lit(" "), F.lit("   ")))
-        .when(supplier % 5 == 3, F.concat(name, F.lit("!")))
-        .otherwise(name)
-        .alias("exercise"),
-        F.when(F.col("l_quantity") >= 48, "").otherwise(text(F.col("l_quantity").cast("long"))).alias("reps"),
-        F.when(F.col("l_quantity") == 1, "bodyweight")
-        .when(F.col("p_partkey") % 4 == 0, F.concat(weight, F.lit(",5 kg")))
-        .when(F.col("p_partkey") % 4 == 1, F.concat(weight, F.lit(" LBS")))
-        .when(F.col("p_partkey") % 4 == 2, "")
-        .otherwise(weight)
-        .alias("load"),
-        F.when(supplier % 2 == 0, F.lower(brand)).otherwise(brand).alias("resistance_type"),
+        F.get("names", (supplier % 5).cast("int")).alias("exercise"),
+        F.when(amount >= 48, "").otherwise(text(amount)).alias("reps"),
+        F.when(amount == 1, "bodyweight").otherwise(
+            F.coalesce(F.concat(text(amount + 20), "suffix"), F.lit(""))
+        ).alias("load"),
+        F.get("brands", (supplier % 2).cast("int")).alias("resistance_type"),
         F.col("l_returnflag").alias("set_type"),
         F.when(F.col("l_tax") == 0, "  ").otherwise(" ok ").alias("comments"),
         F.when(line == 7, "N/A").otherwise(F.concat("l_linestatus", F.lit("*"))).alias("workout_type"),

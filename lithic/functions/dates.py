@@ -10,8 +10,7 @@ from lithic.functions.text import as_column
 # The date that stands for a missing one, and the date shapes that are recognised.
 MISSING_DATE = "1900-01-01"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
-MONTH_FIRST = r"^\d{2}/\d{2}/\d{4}\z"
-YEAR_FIRST = r"^\d{4}.\d{2}.\d{2}\z"
+OTHER_DATES = r"^(?:(\d{4}).(\d{2}).(\d{2})|(\d{2})/(\d{2})/(\d{4}))\z"
 
 
 def standardize_date(col: Column | str) -> Column:
@@ -20,12 +19,9 @@ def standardize_date(col: Column | str) -> Column:
     Other text stays, and so does text of the right shape that names no real day.
     """
     c = as_column(col)
-    month_first = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 1, 2), F.substring(c, 4, 2))
-    year_first = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 6, 2), F.substring(c, 9, 2))
-    candidate = F.when(c.rlike(MONTH_FIRST), month_first).when(c.rlike(YEAR_FIRST), year_first)
-    return F.when(c.rlike(ISO_DATE), c).otherwise(
-        F.coalesce(F.date_format(candidate.try_cast("date"), "yyyy-MM-dd"), c)
-    )
+    # Only the groups of the shape that matched hold text; the others are empty.
+    dashed = F.regexp_replace(c, OTHER_DATES, "$1$6-$2$4-$3$5")
+    return F.coalesce(strict_date(dashed).cast("string"), c)
 
 
 def date_or_missing(col: Column | str) -> Column:
@@ -36,7 +32,7 @@ def date_or_missing(col: Column | str) -> Column:
 def strict_date(col: Column | str) -> Column:
     """ISO text as a date, NULL for anything else (a bare year is not a date)."""
     c = as_column(col)
-    return F.when(F.trim(c).rlike(ISO_DATE), F.trim(c).try_cast("date"))
+    return F.when(c.rlike(ISO_DATE), c.try_cast("date"))
 
 
 def is_weekend(day: Column | str) -> Column:

@@ -15,25 +15,20 @@ def decimal_comma(col: Column | str) -> Column:
     return F.when(c.rlike("[0-9]") & c.contains(","), F.replace(c, F.lit(","), F.lit("."))).otherwise(c)
 
 
-def has_unit(col: Column | str) -> Column:
-    return as_column(col).rlike("(?i)kg|lbs")
-
-
 def unit_of(col: Column | str) -> Column:
     """'KG' or 'LBS' when the text names that unit (kg first), else NULL."""
-    c = as_column(col)
-    return F.when(c.rlike("(?i)kg"), "KG").when(c.rlike("(?i)lbs"), "LBS")
+    c = F.lower(as_column(col))
+    return F.when(c.contains("kg"), "KG").when(c.contains("lbs"), "LBS")
 
 
-def without_unit(col: Column | str) -> Column:
-    """Digits and dots only, for text that names a unit; other text stays."""
-    c = as_column(col)
-    return F.when(has_unit(c), F.regexp_replace(c, r"[^0-9.]", "")).otherwise(c)
+def digits(col: Column | str) -> Column:
+    """Digits and dots only."""
+    return F.regexp_replace(as_column(col), r"[^0-9.]", "")
 
 
 def parsed(col: Column | str, type_name: str) -> Column:
     """Text as ``type_name``, NULL where it does not parse."""
-    return strict_date(col) if type_name == "date" else as_column(col).try_cast(type_name)
+    return strict_date(F.trim(as_column(col))) if type_name == "date" else as_column(col).try_cast(type_name)
 
 
 def cast_or(col: Column | str, type_name: str, default: object, strict: bool = False) -> Column:

@@ -33,13 +33,18 @@ def collapse_spaces(col: Column | str) -> Column:
     return F.regexp_replace(as_column(col), r"\s+", " ")
 
 
+def upper_first(col: Column | str) -> Column:
+    """First character upper, the rest lower."""
+    c = as_column(col)
+    return F.concat(F.upper(F.substr(c, F.lit(1), F.lit(1))), F.lower(F.substr(c, F.lit(2))))
+
+
 def sentence_case(col: Column | str, trimmed: bool = False) -> Column:
     """First character upper, the rest lower, every run of whitespace one space.
 
     ``trimmed`` removes outer spaces first; otherwise a leading space counts as the first character.
     """
-    c = trim(col) if trimmed else as_column(col)
-    return collapse_spaces(F.concat(F.upper(F.substr(c, F.lit(1), F.lit(1))), F.lower(F.substr(c, F.lit(2)))))
+    return collapse_spaces(upper_first(trim(col) if trimmed else col))
 
 
 def strip_special(col: Column | str) -> Column:
@@ -49,7 +54,7 @@ def strip_special(col: Column | str) -> Column:
 
 def tidy(col: Column | str) -> Column:
     """Sentence case without outer whitespace, also where a tab or line break stands at an end."""
-    return sentence_case(collapse_spaces(col), trimmed=True)
+    return upper_first(trim(collapse_spaces(col)))
 
 
 def clean_text(col: Column | str) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithic.functions.changes import any_of, changed, changed3
-from lithic.functions.numbers import has_unit, unit_of, without_unit
+from lithic.functions.changes import all_of, any_of, changed
+from lithic.functions.numbers import digits, unit_of
 from lithic.functions.text import MISSING_TEXT
 
 
@@ -36,39 +36,41 @@ def rewrite_columns(
     With ``row_conditional`` one such column is enough to rewrite all of them in that row; only
     ``guard`` then protects a value in the other columns (None protects nothing).
     """
-    pending = {c: (F.col(c) != MISSING_TEXT) & changed3(c, rewrite(F.col(c))) for c in columns}
-    if not row_conditional:
-        new = {c: F.when(pending[c], rewrite(F.col(c))).otherwise(F.col(c)) for c in columns}
-        if flag:
-            new[flag] = F.coalesce(any_of(pending.values()), F.lit(False))
-        return df.withColumns(new)
-    values = {
-        c: rewrite(F.col(c)) if guard is None else F.when(F.col(c) == guard, F.col(c)).otherwise(rewrite(F.col(c)))
-        for c in columns
-    }
-    return update_where(df, any_of(pending.values()), values, flag)
+    # The new values get a projection of their own, so each is computed once for value and flag.
+    new = {f"_new_{c}": rewrite(F.col(c)) for c in columns}
+    pending = {c: (F.col(c) != MISSING_TEXT) & (F.col(c) != F.col(f"_new_{c}")) for c in columns}
+    any_pending = F.coalesce(any_of(pending.values()), F.lit(False))
+    if row_conditional:
+        kept = {c: F.lit(False) if guard is None else F.col(c) == guard for c in columns}
+        values = {c: F.when(any_pending & ~kept[c], F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
+    else:
+        values = {c: F.when(F.col(c) == MISSING_TEXT, F.col(c)).otherwise(F.col(f"_new_{c}")) for c in columns}
+    if flag:
+        values[flag] = any_pending
+    return df.withColumns(new).withColumns(values).drop(*new)
 
 
 def split_unit(df: DataFrame, value: str, unit: str, flag: str | None = None) -> DataFrame:
     """Move a unit named inside ``value`` to ``unit``; without one both columns stay."""
-    new = {unit: F.coalesce(unit_of(value), F.col(unit)), value: without_unit(value)}
+    named = df.withColumn("_unit", unit_of(value))
+    new = {unit: F.coalesce("_unit", unit), value: F.when(F.col("_unit").isNotNull(), digits(value)).otherwise(F.col(value))}
     if flag:
-        new[flag] = F.coalesce(has_unit(value), F.lit(False))
-    return df.withColumns(new)
+        new[flag] = F.col("_unit").isNotNull()
+    return named.withColumns(new).drop("_unit")
 
 
 def fill_blank(df: DataFrame, defaults: Mapping[str, str], flag: str | None = None) -> DataFrame:
     """Default for NULL or blank text; other values keep their outer spaces."""
-    blank = {c: F.col(c).isNull() | (F.trim(c) == "") for c in defaults}
-    new = {c: F.when(blank[c], F.lit(default)).otherwise(F.col(c)) for c, default in defaults.items()}
+    filled = {c: F.trim(c) != "" for c in defaults}
+    new = {c: F.when(filled[c], F.col(c)).otherwise(default) for c, default in defaults.items()}
     if flag:
-        new[flag] = any_of(blank.values())
+        new[flag] = ~F.coalesce(all_of(filled.values()), F.lit(False))
     return df.withColumns(new)
 
 
 def set_column(df: DataFrame, name: str, value: Column, flag: str | None = None) -> DataFrame:
     """Replace one column; the flag tells where the value differs from before."""
-    new = {name: value}
-    if flag:
-        new[flag] = changed(name, value)
-    return df.withColumns(new)
+    if not flag:
+        return df.withColumn(name, value)
+    new = f"_new_{name}"
+    return df.withColumn(new, value).withColumns({flag: changed(name, new), name: F.col(new)}).drop(new)

@@ -136,7 +136,9 @@ def clean_workout_rows(staged: DataFrame, row_conditional: bool = False) -> Data
         rows = rewrite_columns(rows, special, strip_special, "special_chars")
         rows = rewrite_columns(rows, cased, tidy, "capitalize")
     rows = split_unit(rows, "load", "unit", "load_unit")
-    return fill_blank(rows, WORKOUT_DEFAULTS, "defaults").withColumnRenamed("date_rule", "date_changed")
+    # The other columns got their default on load and no rule can have blanked them.
+    emptied = {c: WORKOUT_DEFAULTS[c] for c in ("load", "exercise", "resistance_type", "workout_type", "date")}
+    return fill_blank(rows, emptied, "defaults").withColumnRenamed("date_rule", "date_changed")
 
 
 def workout_flags() -> dict[str, Column]:
