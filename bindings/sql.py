@@ -95,7 +95,8 @@ VALUES = "workout_number, date, set_number, exercise, reps, load, resistance_typ
 STEPS_SQL = f"""
 loaded_sets AS (
   SELECT earlier, {blank_to('workout_number', '-1')} AS workout_number, coalesce("date", '1900-01-01') AS "date",
-    {blank_to('set_number', '0')} AS set_number, {blank_to(sentence(trim('exercise')), 'N/A')} AS exercise,
+    {blank_to('set_number', '0')} AS set_number,
+    CASE WHEN {trim('exercise')} = 'N/A' THEN 'N/A' ELSE {blank_to(sentence(trim('exercise')), 'N/A')} END AS exercise,
     {blank_to('reps', '0')} AS reps, load, {blank_to('resistance_type', 'N/A')} AS resistance_type,
     {blank_to('set_type', 'N/A')} AS set_type, {blank_to('comments', 'N/A')} AS comments,
     {blank_to('workout_type', 'N/A')} AS workout_type FROM SOURCE),

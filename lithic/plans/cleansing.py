@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithic.functions.changes import any_of, changed
+from lithic.functions.changes import all_of, any_of, changed
 from lithic.functions.dates import MISSING_DATE, date_or_missing, standardize_date
 from lithic.functions.numbers import decimal_comma
 from lithic.functions.text import MISSING_TEXT, blank_to, clean_text, normalized, sentence_case, strip_special, tidy
@@ -25,6 +25,7 @@ from lithic.operators.merge import INSERTED, KEPT, cleansing_insert, update_from
 
 ACTION = "_action"
 COPIES = "_copies"
+LINKED = "_linked"
 TEXT_RULES = ("special_chars", "capitalize")
 WORKOUT_RULES = ("date", "load_dot", "special_chars", "capitalize", "load_unit", "defaults")
 
@@ -116,11 +117,14 @@ def load_bridge(
 
 def clean_workout_rows(staged: DataFrame, row_conditional: bool = False) -> DataFrame:
     """Cleaned workout values with a flag per rule, one row per staged row."""
+    cased = sentence_case("exercise", trimmed=True)
+    if not row_conditional:
+        cased = F.when(F.trim("exercise") == MISSING_TEXT, MISSING_TEXT).otherwise(cased)
     loaded = staged.select(
         blank_to("workout_number", "-1").alias("workout_number"),
         date_or_missing("date").alias("date"),
         blank_to("set_number", "0").alias("set_number"),
-        blank_to(sentence_case("exercise", trimmed=True), MISSING_TEXT).alias("exercise"),
+        blank_to(cased, MISSING_TEXT).alias("exercise"),
         blank_to("reps", "0").alias("reps"),
         "load",
         F.lit(None).cast("string").alias("unit"),
@@ -147,21 +151,27 @@ def workout_flags() -> dict[str, Column]:
 
 
 def load_workouts(
-    target: DataFrame, staged: DataFrame, exercises: DataFrame, resistance_types: DataFrame, batch_ts: datetime | str
+    linked: DataFrame,
+    pending: DataFrame,
+    staged: DataFrame,
+    exercises: DataFrame,
+    resistance_types: DataFrame,
+    batch_ts: datetime | str,
 ) -> DataFrame:
-    """Cleansing content of the workouts after a load.
+    """Workouts to write after a load: the new ones and the earlier ones that still lack a key.
 
     Staged rows are cleaned, reduced to one row per set (the first, which gets the lowest id), and
-    those not yet in the table are numbered. Missing keys of old and new rows are then looked up by
-    name. Bookkeeping: action, copies, and per rule the number of staged rows it changed.
+    those in neither table are numbered. Missing keys of new and pending rows are then looked up by
+    name. ``linked`` rows have both keys and never change, so they are read for the comparison only.
+    Bookkeeping: action, copies, and per rule the number of staged rows it changed.
     """
     sums = {f"_{rule}": flag for rule, flag in workout_flags().items()}
     rows = clean_workout_rows(staged)
-    values = [c for c in rows.columns if c in target.columns]
+    values = [c for c in rows.columns if c in pending.columns]
     order = [*numeric_order("workout_number"), "date", *numeric_order("set_number"), "exercise"]
     kept = first_per_key(rows, WORKOUT_KEY, order, count=COPIES, sums=sums).select(*values, COPIES, *sums)
-    fresh = anti_join(kept, target, WORKOUT_KEY)
-    numbered = assign_keys(fresh, "id", order, highest_key(target, "id"))
+    known = linked.unionByName(pending)
+    numbered = assign_keys(anti_join(kept, known, WORKOUT_KEY), "id", order, highest_key(known, "id"))
     absent = F.lit(None).cast("string")
     new = numbered.withColumns(
         {
@@ -172,7 +182,7 @@ def load_workouts(
             ACTION: F.lit(INSERTED),
         }
     )
-    old = target.withColumns(
+    old = pending.withColumns(
         {ACTION: F.lit(KEPT), COPIES: F.lit(1).cast("long"), **{s: F.lit(0).cast("long") for s in sums}}
     )
     both = old.unionByName(new.select(*old.columns)).withColumns(
@@ -180,5 +190,10 @@ def load_workouts(
     )
     both = fill_key(both, exercises, "exercise", "exercise_name", "exercise_id")
     both = fill_key(both, resistance_types, "resistance_type", "resistance_type", "resistance_id")
-    linked = any_of([changed("exercise_id", "_old_exercise"), changed("resistance_id", "_old_resistance")])
-    return both.withColumn("_linked", linked).drop("_old_exercise", "_old_resistance")
+    found = any_of([changed("exercise_id", "_old_exercise"), changed("resistance_id", "_old_resistance")])
+    return both.withColumn(LINKED, found).drop("_old_exercise", "_old_resistance")
+
+
+def has_both_keys() -> Column:
+    """True for workouts that no later lookup can change."""
+    return all_of(F.coalesce(F.col(k) != "-1", F.lit(False)) for k in ("exercise_id", "resistance_id"))

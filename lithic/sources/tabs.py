@@ -23,7 +23,8 @@ def read_tab(
     location = f"{path}/{name}.{found}"
     if found == "csv":
         reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-        return reader.option("nullValue", "\u0000").option("emptyValue", "").csv(location)
+        cells = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(location)
+        return cells.fillna("")
     if found == "json":
         return spark.read.option("primitivesAsString", True).json(location)
     return spark.read.parquet(location)
