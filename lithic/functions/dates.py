@@ -13,15 +13,23 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 OTHER_DATES = r"^(?:(\d{4}).(\d{2}).(\d{2})|(\d{2})/(\d{2})/(\d{4}))\z"
 
 
+def dashed_date(col: Column | str) -> Column:
+    """``MM/DD/YYYY`` and ``YYYY?MM?DD`` (any separator) in the order and form ``YYYY-MM-DD``."""
+    # Only the groups of the shape that matched hold text; the others are empty.
+    return F.regexp_replace(as_column(col), OTHER_DATES, "$1$6-$2$4-$3$5")
+
+
+def real_date(dashed: Column | str, original: Column | str) -> Column:
+    """The dashed text where it names a real day, else the original."""
+    return F.coalesce(strict_date(dashed).cast("string"), as_column(original))
+
+
 def standardize_date(col: Column | str) -> Column:
-    """Rewrite ``MM/DD/YYYY`` and ``YYYY?MM?DD`` (any separator) as ``YYYY-MM-DD``.
+    """Rewrite ``MM/DD/YYYY`` and ``YYYY?MM?DD`` as ``YYYY-MM-DD``.
 
     Other text stays, and so does text of the right shape that names no real day.
     """
-    c = as_column(col)
-    # Only the groups of the shape that matched hold text; the others are empty.
-    dashed = F.regexp_replace(c, OTHER_DATES, "$1$6-$2$4-$3$5")
-    return F.coalesce(strict_date(dashed).cast("string"), c)
+    return real_date(dashed_date(col), col)
 
 
 def date_or_missing(col: Column | str) -> Column:

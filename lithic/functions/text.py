@@ -52,9 +52,18 @@ def strip_special(col: Column | str) -> Column:
     return F.regexp_replace(as_column(col), SPECIAL_CHARACTERS, "")
 
 
+def single_spaced(col: Column | str) -> Column:
+    """Every run of whitespace one space, none at the ends."""
+    return trim(collapse_spaces(col))
+
+
 def tidy(col: Column | str) -> Column:
     """Sentence case without outer whitespace, also where a tab or line break stands at an end."""
-    return upper_first(trim(collapse_spaces(col)))
+    return upper_first(single_spaced(col))
+
+
+# The same as steps for ``rewrite_columns``.
+TIDY_STEPS = (single_spaced, upper_first)
 
 
 def clean_text(col: Column | str) -> Column:

@@ -26,18 +26,23 @@ def update_where(
 def rewrite_columns(
     df: DataFrame,
     columns: Sequence[str],
-    rewrite: Callable[[Column], Column],
+    rewrite: Callable[[Column], Column] | Sequence[Callable[[Column], Column]],
     flag: str | None = None,
     row_conditional: bool = False,
     guard: str | None = MISSING_TEXT,
 ) -> DataFrame:
     """Apply ``rewrite`` to each column where it changes the value and the value is not 'N/A'.
 
+    A rewrite may be a list of steps. Each step is a projection of its own, so a step that uses its
+    input twice does not repeat the steps before it.
     With ``row_conditional`` one such column is enough to rewrite all of them in that row; only
     ``guard`` then protects a value in the other columns (None protects nothing).
     """
-    # The new values get a projection of their own, so each is computed once for value and flag.
-    new = {f"_new_{c}": rewrite(F.col(c)) for c in columns}
+    first, *others = [rewrite] if callable(rewrite) else rewrite
+    new = {f"_new_{c}": first(F.col(c)) for c in columns}
+    rewritten = df.withColumns(new)
+    for step in others:
+        rewritten = rewritten.withColumns({n: step(F.col(n)) for n in new})
     pending = {c: (F.col(c) != MISSING_TEXT) & (F.col(c) != F.col(f"_new_{c}")) for c in columns}
     any_pending = F.coalesce(any_of(pending.values()), F.lit(False))
     if row_conditional:
@@ -47,7 +52,7 @@ def rewrite_columns(
         values = {c: F.when(F.col(c) == MISSING_TEXT, F.col(c)).otherwise(F.col(f"_new_{c}")) for c in columns}
     if flag:
         values[flag] = any_pending
-    return df.withColumns(new).withColumns(values).drop(*new)
+    return rewritten.withColumns(values).drop(*new)
 
 
 def split_unit(df: DataFrame, value: str, unit: str, flag: str | None = None) -> DataFrame:

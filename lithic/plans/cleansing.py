@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lithic.functions.changes import all_of, any_of, changed
-from lithic.functions.dates import MISSING_DATE, date_or_missing, standardize_date
+from lithic.functions.dates import MISSING_DATE, dashed_date, date_or_missing, real_date
 from lithic.functions.numbers import decimal_comma
-from lithic.functions.text import MISSING_TEXT, blank_to, clean_text, normalized, sentence_case, strip_special, tidy
+from lithic.functions.text import (
+    MISSING_TEXT, TIDY_STEPS, blank_to, clean_text, normalized, sentence_case, strip_special,
+)
 from lithic.operators.cleaning import fill_blank, rewrite_columns, set_column, split_unit
 from lithic.operators.dedup import first_per_key, numeric_order
 from lithic.operators.joins import anti_join, fill_key, match_parents
@@ -54,7 +56,7 @@ def clean_columns(df: DataFrame, columns: Sequence[str], row_conditional: bool =
         df = rewrite_columns(df, columns, strip_special, "special_chars", row_conditional=True, guard=None)
         return rewrite_columns(df, columns, sentence_case, "capitalize", row_conditional=True, guard=None)
     df = rewrite_columns(df, columns, strip_special, "special_chars")
-    return rewrite_columns(df, columns, tidy, "capitalize")
+    return rewrite_columns(df, columns, TIDY_STEPS, "capitalize")
 
 
 def load_dimension(
@@ -130,7 +132,8 @@ def clean_workout_rows(staged: DataFrame, row_conditional: bool = False) -> Data
         F.lit(None).cast("string").alias("unit"),
         *(blank_to(c, MISSING_TEXT).alias(c) for c in ("resistance_type", "set_type", "comments", "workout_type")),
     )
-    rows = set_column(loaded, "date", standardize_date("date"), "date_rule")
+    dashed = loaded.withColumn("_dashed", dashed_date("date"))
+    rows = set_column(dashed, "date", real_date("_dashed", "date"), "date_rule").drop("_dashed")
     rows = set_column(rows, "load", decimal_comma("load"), "load_dot")
     special, cased = ["exercise", "workout_type"], ["exercise", "resistance_type"]
     if row_conditional:
@@ -138,7 +141,7 @@ def clean_workout_rows(staged: DataFrame, row_conditional: bool = False) -> Data
         rows = rewrite_columns(rows, cased, sentence_case, "capitalize", row_conditional=True, guard=None)
     else:
         rows = rewrite_columns(rows, special, strip_special, "special_chars")
-        rows = rewrite_columns(rows, cased, tidy, "capitalize")
+        rows = rewrite_columns(rows, cased, TIDY_STEPS, "capitalize")
     rows = split_unit(rows, "load", "unit", "load_unit")
     # The other columns got their default on load and no rule can have blanked them.
     emptied = {c: WORKOUT_DEFAULTS[c] for c in ("load", "exercise", "resistance_type", "workout_type", "date")}
