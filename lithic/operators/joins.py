@@ -42,13 +42,16 @@ def lookup_join(
     """Join ``left`` to a lookup that has at most one row per key.
 
     A lookup whose measured size fits is broadcast. A larger one is joined by shuffle with the key
-    salted, so the rows of one hot key (or of NULL keys) spread over ``salts`` tasks.
+    salted, so the rows of one hot key (or of NULL keys) spread over ``salts`` tasks. The salt
+    depends on the row and its input partition only: equal rows spread too, and a task that is run
+    again salts its rows as before.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"a lookup join is left, inner or left_semi, not {how}")
     if fits_broadcast(lookup, max_bytes):
         return left.join(F.broadcast(lookup), list(on), how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    spread = F.xxhash64(*left.columns, F.spark_partition_id())
+    salted = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 

@@ -24,14 +24,13 @@ def highest_key(df: DataFrame, key: str) -> int:
 def assign_keys(df: DataFrame, name: str, order: Sequence[Column | str], start: int = 0) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in ``order``, which must be unique per row.
 
-    Rows are range-partitioned and sorted by ``order`` and that placement is written to the shared
-    checkpoint folder, so a lost executor re-reads it and cannot renumber rows. The only thing the
-    driver sees is one row count per partition.
+    Rows are range-partitioned and sorted by ``order`` and written, each with its place, to a table
+    in the shared folder. A lost executor or a second pass reads that table and cannot renumber
+    rows. The only thing the driver sees is one row count per partition.
     """
     by = {f"_order{i}": as_column(c) for i, c in enumerate(order)}
-    keyed = df.withColumns(by)
-    placed = stable(keyed.repartitionByRange(*by).sortWithinPartitions(*by).drop(*by))
-    located = placed.withColumn("_at", F.monotonically_increasing_id()).withColumns(
+    ranged = df.withColumns(by).repartitionByRange(*by).sortWithinPartitions(*by).drop(*by)
+    located = stable(ranged.withColumn("_at", F.monotonically_increasing_id())).withColumns(
         {"_part": F.shiftright("_at", ROW_BITS), "_row": F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))}
     )
     sizes = sorted((r["_part"], r["n"]) for r in located.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())

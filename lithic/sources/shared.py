@@ -1,4 +1,4 @@
-"""The shared folder for checkpoints and intermediate tables."""
+"""The shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -29,11 +29,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` as written to the reliable checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The rows of ``df`` as written to a table in the shared folder, which cuts their lineage."""
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _file_system(spark: SparkSession, path: str):
