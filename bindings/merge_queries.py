@@ -472,12 +472,47 @@ def sets_by_resistance(spark, sf_dir):
     )
 
 
+FULL_RANGES = {"calendar_range": ("1995-01-01", "2001-12-31"), "partition_range": ("1995-01-01", "2001-12-31")}
+
+
 @query(
     f"""WITH {sql.STAGED_SETS_SQL}, {TABS_SQL}, {_CL_IDS}, facts AS (SELECT {_FACT_COLUMNS})
     SELECT row_number() OVER (ORDER BY date_id, CAST(src_id AS BIGINT)) AS id, facts.* FROM facts"""
 )
 def warehouse_fact(spark, sf_dir):
     """The fact table after the full run over all five tabs."""
-    ranges = {"calendar_range": ("1995-01-01", "2001-12-31"), "partition_range": ("1995-01-01", "2001-12-31")}
-    tables = run_tabs(spark, tabs(spark, sf_dir), scratch_path(spark, "warehouse"), BATCH, **ranges)
+    tables = run_tabs(spark, tabs(spark, sf_dir), scratch_path(spark, "warehouse"), BATCH, **FULL_RANGES)
     return plain_fact(tables["fact_workouts"])
+
+
+_SET_KEY = 'workout_number, "date", set_number, exercise'
+_UNCHANGED = ", ".join(
+    f"('{layer}', '{name}')"
+    for layer, names in {
+        "staging": ("exercises", "muscles", "resistance_types", "exercise_muscle"),
+        "cleansing": ("cl_exercises", "cl_muscles", "cl_resistance_types", "cl_exercise_muscle"),
+        "warehouse": ("ce_exercises", "ce_muscles", "ce_resistance_types", "ce_exercise_muscle", "ce_dates"),
+    }.items()
+    for name in names
+)
+
+
+def _new_keys(table: str) -> str:
+    return f"""(SELECT count(*) FROM (SELECT {_SET_KEY} FROM {table} EXCEPT
+      SELECT {_SET_KEY} FROM {table} WHERE earlier))"""
+
+
+@query(
+    f"""WITH {sql.CLEAN_SETS_SQL}
+    SELECT layer, table_name, 0 AS inserted, 0 AS updated FROM (VALUES {_UNCHANGED}) AS t(layer, table_name)
+    UNION ALL SELECT 'staging', 'workouts', {_new_keys('raw_sets')}, 0
+    UNION ALL SELECT 'cleansing', 'cl_workouts', {_new_keys('clean_sets')}, 0
+    UNION ALL SELECT 'warehouse', 'fact_workouts', {_new_keys('clean_sets')}, 0"""
+)
+def warehouse_rerun(spark, sf_dir):
+    """What a second run adds, by its audit: only the sets that the first run had not seen."""
+    out, every = scratch_path(spark, "warehouse"), tabs(spark, sf_dir)
+    early = raw_sets(spark, sf_dir, earlier=True).withColumnsRenamed({c: h for h, c in s.WORKOUTS.headers.items()})
+    run_tabs(spark, {**every, s.WORKOUTS.name: early}, out, EARLIER_BATCH, **FULL_RANGES)
+    audit = run_tabs(spark, every, out, BATCH, **FULL_RANGES)["audit"]
+    return audit.where(F.col("batch_ts") == moment(BATCH)).select("layer", "table_name", "inserted", "updated")

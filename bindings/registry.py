@@ -12,12 +12,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a query under the name of its function, with the SQL that must give the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, with the SQL that must give the same rows, under ``name`` or that of its function."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLES[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = sql
         return fn
 
     return register

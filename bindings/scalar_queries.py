@@ -112,7 +112,7 @@ def date_standardize(spark, sf_dir):
     )
 
 
-@query(f"{SETS} SELECT workout_number, set_number, {sql.decimal_comma('load')} AS load FROM raw_sets")
+@query(f"{SETS} SELECT workout_number, set_number, {sql.decimal_comma('load')} AS load FROM raw_sets", name="decimal_comma")
 def decimal_point(spark, sf_dir):
     return raw_sets(spark, sf_dir).select("workout_number", "set_number", decimal_comma("load").alias("load"))
 
@@ -127,7 +127,8 @@ def unit_split(spark, sf_dir):
 
 @query(
     f"{SETS} SELECT workout_number, set_number, exercise, {sql.fill('reps', '0')} AS reps, {sql.fill('load', '0')} AS load,"
-    f" {sql.fill('comments', 'N/A')} AS comments FROM raw_sets"
+    f" {sql.fill('comments', 'N/A')} AS comments FROM raw_sets",
+    name="fill_blank",
 )
 def fill_blank_defaults(spark, sf_dir):
     rows = raw_sets(spark, sf_dir).select("workout_number", "set_number", "exercise", "reps", "load", "comments")

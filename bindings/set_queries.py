@@ -120,7 +120,8 @@ def dedup_bridge_rows(spark, sf_dir):
 
 @query(
     "SELECT l_orderkey, l_linenumber, min(l_partkey) AS min_id, count(*) AS n_rows FROM lineitem"
-    " GROUP BY 1, 2 HAVING count(*) > 1"
+    " GROUP BY 1, 2 HAVING count(*) > 1",
+    name="duplicate_report",
 )
 def duplicate_groups(spark, sf_dir):
     return duplicate_report(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], F.col("l_partkey"))
@@ -236,7 +237,7 @@ def foreign_keys(spark, sf_dir):
     return foreign_key_violations(orders, "o_custkey", customers, "c_custkey")
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1", name="key_violations")
 def repeated_keys(spark, sf_dir):
     return key_violations(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -245,7 +246,8 @@ def repeated_keys(spark, sf_dir):
     f"""{SETS} SELECT workout_number, set_number, reps, load,
       concat_ws(',', CASE WHEN reps IS NULL THEN 'reps' END, CASE WHEN load IS NULL THEN 'load' END) AS null_columns
     FROM (SELECT workout_number, set_number, nullif(reps, '') AS reps, nullif(load, '') AS load FROM raw_sets)
-    WHERE reps IS NULL OR load IS NULL"""
+    WHERE reps IS NULL OR load IS NULL""",
+    name="not_null_violations",
 )
 def missing_values(spark, sf_dir):
     rows = raw_sets(spark, sf_dir).select(
@@ -257,7 +259,8 @@ def missing_values(spark, sf_dir):
 @query(
     """SELECT page_id, url, concat_ws(',', CASE WHEN length(url) > 30 THEN 'url' END,
       CASE WHEN length(html) > 256 THEN 'html' END) AS long_columns
-    FROM pages WHERE length(url) > 30 OR length(html) > 256"""
+    FROM pages WHERE length(url) > 30 OR length(html) > 256""",
+    name="length_violations",
 )
 def length_limits(spark, sf_dir):
     return length_violations(read(spark, sf_dir, "pages"), {"url": 30, "html": 256}).drop("html")

@@ -56,24 +56,48 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def anti_join(
-    left: DataFrame, right: DataFrame, on: Mapping[str, tuple[Column, Column]] | Sequence[str], null_safe: bool = False
-) -> DataFrame:
+Pairs = Mapping[str, tuple[Column, Column]] | Sequence[str]
+
+
+def anti_join(left: DataFrame, right: DataFrame, on: Pairs, null_safe: bool = False) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``.
 
     ``on`` is a list of shared names, or pairs of key expressions computed once per side. A NULL
     key has no partner, unless ``null_safe``.
     """
+    keyed, mine, theirs = _keyed(left, right, on)
+    present = theirs.distinct()
+    return keyed.join(present, _match(keyed, mine, present, null_safe), "left_anti").select(*left.columns)
+
+
+def anti_join_few(
+    left: DataFrame, right: DataFrame, on: Pairs, null_safe: bool = False, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``anti_join`` for a few rows against a large table.
+
+    When the measured keys of ``left`` fit, they are broadcast to find the rows of ``right`` that
+    matter, so the large table is scanned but not shuffled.
+    """
+    keyed, mine, theirs = _keyed(left, right, on)
+    keys = keyed.select(*mine)
+    if not fits_broadcast(keys, max_bytes):
+        return anti_join(left, right, on, null_safe)
+    wanted = keys.distinct()
+    met = theirs.join(F.broadcast(wanted), _match(wanted, mine, theirs, null_safe), "left_semi").distinct()
+    return keyed.join(met, _match(keyed, mine, met, null_safe), "left_anti").select(*left.columns)
+
+
+def _keyed(left: DataFrame, right: DataFrame, on: Pairs) -> tuple[DataFrame, list[str], DataFrame]:
+    """``left`` with its key columns, their names, and the key columns of ``right`` alone."""
     pairs = on if isinstance(on, Mapping) else {c: (F.col(c), F.col(c)) for c in on}
-    mine, theirs = {}, {}
-    for i, (a, b) in enumerate(pairs.values()):
-        mine[f"_left{i}"], theirs[f"_right{i}"] = a, b
-    keyed = left.withColumns(mine)
-    present = right.select(*(c.alias(n) for n, c in theirs.items())).distinct()
-    matches = all_of(
-        keyed[a].eqNullSafe(present[b]) if null_safe else keyed[a] == present[b] for a, b in zip(mine, theirs)
-    )
-    return keyed.join(present, matches, "left_anti").select(*left.columns)
+    mine = {f"_left{i}": a for i, (a, _) in enumerate(pairs.values())}
+    theirs = right.select(*(b.alias(f"_right{i}") for i, (_, b) in enumerate(pairs.values())))
+    return left.withColumns(mine), list(mine), theirs
+
+
+def _match(keyed: DataFrame, mine: Sequence[str], theirs: DataFrame, null_safe: bool) -> Column:
+    pairs = zip((keyed[a] for a in mine), (theirs[b] for b in theirs.columns))
+    return all_of(a.eqNullSafe(b) if null_safe else a == b for a, b in pairs)
 
 
 def smallest_per_name(lookup: DataFrame, name: str, key: str) -> DataFrame:

@@ -21,9 +21,10 @@ from lithic.functions.text import (
 )
 from lithic.operators.cleaning import fill_blank, rewrite_columns, set_column, split_unit
 from lithic.operators.dedup import first_per_key, numeric_order
-from lithic.operators.joins import anti_join, fill_key, match_parents
+from lithic.operators.joins import anti_join, anti_join_few, fill_key, match_parents
 from lithic.operators.keys import assign_keys, highest_key
 from lithic.operators.merge import INSERTED, KEPT, cleansing_insert, update_from
+from lithic.sources.shared import stable
 
 ACTION = "_action"
 COPIES = "_copies"
@@ -174,7 +175,8 @@ def load_workouts(
     order = [*numeric_order("workout_number"), "date", *numeric_order("set_number"), "exercise"]
     kept = first_per_key(rows, WORKOUT_KEY, order, count=COPIES, sums=sums).select(*values, COPIES, *sums)
     known = linked.unionByName(pending)
-    numbered = assign_keys(anti_join(kept, known, WORKOUT_KEY), "id", order, highest_key(known, "id"))
+    fresh = kept if known.isEmpty() else anti_join_few(stable(kept), known, WORKOUT_KEY)
+    numbered = assign_keys(fresh, "id", order, highest_key(known, "id"))
     absent = F.lit(None).cast("string")
     new = numbered.withColumns(
         {

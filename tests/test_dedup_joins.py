@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lithic.functions.text import normalized
 from lithic.operators.dedup import drop_duplicates, duplicate_report, first_per_key, numeric_order
-from lithic.operators.joins import anti_join, fill_key, lookup_join, match_parents, measured_bytes, orphans
+from lithic.operators.joins import anti_join, anti_join_few, fill_key, lookup_join, match_parents, measured_bytes, orphans
 
 
 def plan(df):
@@ -78,6 +78,17 @@ def test_anti_join_null_keys(rows):
     assert table(anti_join(left, right, ["k"], null_safe=True)) == [("b", "3")]
 
 
+def test_anti_join_few_is_the_same_broadcast_or_not(spark):
+    left = spark.range(50).select((F.col("id") % 20).alias("a"), F.when(F.col("id") > 4, F.col("id") % 3).alias("b"))
+    right = spark.range(1000).select((F.col("id") % 11).alias("a"), F.when(F.col("id") > 9, F.lit(1)).alias("b"))
+    for null_safe in (False, True):
+        expected = table(anti_join(left, right, ["a", "b"], null_safe))
+        few = anti_join_few(left, right, ["a", "b"], null_safe)
+        assert "BroadcastHashJoin" in plan(few) and "LeftSemi" in plan(few)
+        assert table(few) == expected
+        assert table(anti_join_few(left, right, ["a", "b"], null_safe, max_bytes=0)) == expected
+
+
 def test_fill_key(rows):
     sets = rows("name,id", ("Squat", None), ("Squat", "-1"), ("Squat", "77"), ("Ghost", None), (None, "-1"))
     names = rows("n,id", ("Squat", "10"), ("Squat", "9"), (None, "1"))
