@@ -9,7 +9,7 @@ from bindings import sql
 from bindings.registry import query
 from bindings.tables import (
     BATCH, CUTOFF, EARLIER_BATCH, EARLIER_SIZE, SETS_SQL, TABS_SQL, bridge_tab, exercise_dimension, exercise_tab,
-    muscle_tab, raw_sets, read, resistance_dimension, ship_calendar, tabs, text, time_text, trained_pairs, typed_sets,
+    muscle_tab, raw_sets, read, resistance_dimension, ship_calendar, tabs, text, trained_pairs, typed_sets,
     unique_sets,
 )
 from lithic.functions.text import MISSING_TEXT, blank_to

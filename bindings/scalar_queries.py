@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bindings import sql
 from bindings.registry import query
 from bindings.tables import (
-    BATCH, EARLIER_SIZE, SETS_SQL, TABS_SQL, exercise_tab, raw_sets, read, text, time_text,
+    BATCH, EARLIER_SIZE, SETS_SQL, TABS_SQL, exercise_tab, raw_sets, read, time_text,
 )
 from lithic.functions.changes import changed, changed3
 from lithic.functions.dates import calendar_parts, date_or_missing, standardize_date
