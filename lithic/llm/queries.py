@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import pieces, quality
+from lithic.llm import language, pieces, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(key: str, of: int) -> Column:
+    """The remainder that says which rows are held out."""
+    return F.crc32(F.col(key).cast("string")) % of
+
+
+@query
+def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs.select("doc_id", "text", "lang"), fold("doc_id", 3) != 1)
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "language.*")
+
+
 @query
 def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, compression ratios and verdict of every document."""
@@ -34,6 +48,20 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(docs).select("doc_id", "quality.*")
 
 
+@query
+def op4_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from confirmed toxic and unlabelled ones of four fifths."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    scored = toxicity.score(docs, model, into="score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as counts and digests."""
