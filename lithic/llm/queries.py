@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import language, pieces, quality, toxicity
+from lithic.llm import language, minhash, pieces, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
