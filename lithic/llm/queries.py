@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import language, minhash, pieces, quality, toxicity
+from lithic.llm import language, minhash, mixing, pieces, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
