@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import language, minhash, mixing, pieces, quality, toxicity
+from lithic.llm import language, minhash, mixing, neighbours, pieces, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,13 @@ def op7_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    indexed = neighbours.index(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return neighbours.search(indexed, F.col("id") % 20 == 0)
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
