@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import language, minhash, mixing, neighbours, pieces, quality, toxicity
+from lithic.llm import language, minhash, mixing, neighbours, pieces, quality, toxicity, warc
+from lithic.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,23 @@ def op8_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(indexed, F.col("id") % 20 == 0)
 
 
+@query
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as archives in which repeated payloads are revisits, read back and resolved."""
+    pages = read(spark, sf_dir, "pages")
+    records = pages.select(F.col("page_id").alias("id"), F.col("url").alias("uri"), F.col("html").alias("payload"))
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.deduplicate(records), path)
+    number = lambda name: F.regexp_extract(name, r"<urn:record:(-?\d+)>", 1).try_cast("long")
+    return warc.resolve(warc.read_archives(spark, path, payloads=False)).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
