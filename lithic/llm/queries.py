@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import language, minhash, mixing, neighbours, pieces, quality, toxicity, warc
+from lithic.llm import extraction, language, minhash, mixing, neighbours, pieces, preferences, quality, toxicity, warc
 from lithic.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,45 @@ def fold(key: str, of: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % of
 
 
+@query
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of preference pairs, whose rejected side ends with the answer of another conversation."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return preferences.aligned(*preferences.with_neighbours_answer(turns))
+
+
+ORACLES["op1_preferences"] = """
+WITH named AS (
+  SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), answers AS (
+  SELECT pair_id, turn AS last_turn, text AS answer FROM named WHERE role = 'assistant'
+  QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC NULLS LAST) = 1
+), ends AS (
+  SELECT a.pair_id, a.last_turn, b.answer FROM answers a JOIN answers b ON b.pair_id = xor(a.pair_id, 1)
+), left_turns AS (
+  SELECT n.* FROM named n JOIN ends USING (pair_id) WHERE turn <= last_turn
+), right_turns AS (
+  SELECT n.* FROM named n JOIN ends USING (pair_id) WHERE turn < last_turn
+  UNION ALL SELECT pair_id, last_turn, 'assistant', answer FROM ends
+), l AS (
+  SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) - 1 AS place,
+         coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM left_turns
+), r AS (
+  SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) - 1 AS place,
+         coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM right_turns
+), cut AS (
+  SELECT pair_id, min(CASE WHEN l.role IS DISTINCT FROM r.role OR l.text IS DISTINCT FROM r.text THEN place END) AS stop
+  FROM l FULL JOIN r USING (pair_id, place) GROUP BY pair_id
+), parts AS (
+  SELECT l.*, CASE WHEN stop IS NULL OR place < stop THEN 'prompt' ELSE 'chosen' END AS part FROM l JOIN cut USING (pair_id)
+  UNION ALL SELECT r.*, 'rejected' FROM r JOIN cut USING (pair_id) WHERE place >= stop
+)
+SELECT pair_id, part, place, role, '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head,
+       replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+       part <> 'prompt' AND role = 'assistant' AS trained
+FROM parts"""
+
+
 @query
 def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
@@ -75,6 +114,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_rendered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extracted(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op7_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
