@@ -31,6 +31,11 @@ def n_words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def twin(text: Column | str) -> Column:
+    """A hash by which rows with one key and different texts are told apart."""
+    return F.xxhash64(text)
+
+
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Add ``target`` to ``sources``, which has source and source_size, a row per source.
 
@@ -90,13 +95,14 @@ def mix(
     block: int = BLOCK,
     shard: int = SHARD,
     seed: int = SEED,
+    keep_twin: bool = False,
 ) -> DataFrame:
     """(``key``, size, source_size, target, taken, first) for every row: the words that the mix takes of it.
 
     ``taken`` counts repeated passes, ``most`` times the size at most; the pass that ends within a document takes its
     ``first`` words (0 if none does). A source takes its target but for about a block per shard. A text that is null or
     has no word takes no part, with 0 taken; a null source is a source of its own; rows that are alike, also in the key,
-    share the outcome of their place in the seeded order. Reruns agree, whatever the partitioning. An empty table gives
+    share the outcome of their place in the seeded order; ``keep_twin`` adds the hash of the text. Reruns agree, whatever the partitioning. An empty table gives
     an empty result.
     """
     sized = stable(
@@ -104,7 +110,7 @@ def mix(
             F.col(key).alias("key"),
             F.col(source).alias("source"),
             n_words(text).alias("size"),
-            F.xxhash64(F.col(text), F.lit(seed)).alias("twin"),
+            twin(text).alias("twin"),
         )
     )
     names = ["unnamed", "name"]
@@ -143,5 +149,6 @@ def mix(
             "target",
             (F.col("passes") * F.col("size") + F.col("first")).alias("taken"),
             "first",
+            *(["twin"] if keep_twin else []),
         )
     )
