@@ -381,12 +381,15 @@ def aligned(grid: list[list[tuple[int, int, int, int]]], texts: dict[int, list[s
     placed = sorted((across, column, cell) for cells in grid for _, column, across, cell in cells)
     for across, column, cell in placed:
         need = max(map(len, texts.get(cell, [])), default=0)
-        have = sum(widths.get(k, 0) + 2 for k in range(column, column + across)) - 2
+        # Columns without text take no room, the others two spaces more than their text.
+        have = max(0, sum(widths[k] + 2 for k in range(column, column + across) if widths.get(k)) - 2)
         if need > have:  # the last of the columns it spans grows
-            widths[column + across - 1] = widths.get(column + across - 1, 0) + need - have
+            end = column + across - 1
+            new = 2 if have and not widths.get(end) else 0
+            widths[end] = widths.get(end, 0) + max(1, need - have - new)
     starts = [0]
     for k in range(last):
-        starts.append(starts[-1] + (widths.get(k, 0) + 2 if widths.get(k) else 0))
+        starts.append(starts[-1] + (widths[k] + 2 if widths.get(k) else 0))
     for cells in grid:
         height = max((len(texts.get(cell, [])) for *_, cell in cells), default=0)
         for at in range(height):

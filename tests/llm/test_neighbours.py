@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from lithic.llm import neighbours
+
+
+def brute(rows, asked, k):
+    """Of each query the ids and scores of the k nearest, ties to the smaller id."""
+    out = {}
+    for i, v in rows.items():
+        if asked(i):
+            near = sorted(((-float(np.dot(v, w)), j) for j, w in rows.items() if j != i and len(w) == len(v)))
+            out[i] = [(j, -s) for s, j in near[:k]]
+    return out
+
+
+def vectors(n=400, size=24, seed=1):
+    draw = np.random.default_rng(seed)
+    centres = draw.standard_normal((7, size))
+    rows = {k: (centres[k % 7] + 0.4 * draw.standard_normal(size)) * draw.uniform(0.2, 3) for k in range(n)}
+    rows |= {k: rows[3] for k in range(30, 90)}  # a common vector
+    return {k: v.astype(np.float32).astype(float) for k, v in rows.items()}
+
+
+def found(frame, asked, **sizes):
+    out = {}
+    for r in neighbours.search(neighbours.index(frame), asked, **sizes).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_search_agrees_with_brute_force(spark):
+    rows = vectors()
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in rows.items()], "vec_id long, embedding array<float>")
+    want = brute(rows, lambda i: i % 20 == 0, 10)
+    for sizes in ({}, {"query_block": 7, "block": 60}):
+        got = found(frame, F.col("id") % 20 == 0, k=10, **sizes)
+        assert got.keys() == want.keys()
+        for i in want:
+            assert [j for j, _ in got[i]] == [j for j, _ in want[i]]
+            assert np.allclose([s for _, s in got[i]], [s for _, s in want[i]], rtol=1e-12)
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [nan, 1.0])]
+    rows += [(7, [inf, 0.0]), (None, [1.0, 1.0]), (8, []), (9, [1.0, 2.0, 3.0]), (10, [-1.0, 0.0])]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, score int")
+    got = found(frame, F.lit(True))
+    assert {i: [j for j, _ in x] for i, x in got.items()} == {1: [2, 10], 2: [1, 10], 10: [2, 1]}
+    assert found(frame.limit(0), F.lit(True)) == {} and found(frame, F.col("id") > 99) == {}
+
+
+def test_codes_are_deterministic_and_bound_the_error():
+    draw = np.random.default_rng(5)
+    base, queries = draw.standard_normal((2000, 64)), draw.standard_normal((20, 64))
+    packed, norms, aligned = neighbours.codes(base)
+    assert packed.shape == (2000, 8) and np.array_equal(packed, neighbours.codes(base)[0])
+    signs = np.unpackbits(packed, axis=1).astype(float) * 2 - 1
+    about = (queries @ neighbours.rotation(64)) @ signs.T * (norms / aligned / 8)
+    spread = np.sqrt(1 - aligned**2) / aligned / np.sqrt(63) * norms * np.linalg.norm(queries, axis=1)[:, None]
+    off = np.abs(about - queries @ base.T) / spread
+    assert 0.9 < np.sqrt((off**2).mean()) < 1.1 and (off > neighbours.ERRORS).mean() < 1e-4
