@@ -21,7 +21,7 @@ LONGEST = 3
 #: n-grams are told apart by this many bits of their hash.
 BITS = 16
 #: Bounds of what is learned from: texts over all languages, and landmarks among them.
-MAX_TEXTS, MAX_LANDMARKS = 4000, 400
+MAX_TEXTS, MAX_LANDMARKS = 3000, 256
 RIDGE = 1e-4
 #: Texts scored by one matrix product, and characters hashed at once.
 ROWS, CHARS = 64, 1 << 20
@@ -87,20 +87,29 @@ class LanguageModel:
         return (found.astype(np.float32) @ self.weights) / np.sqrt(found.sum(axis=1, dtype=np.int64))[:, None]
 
 
+def scaled(packed: np.ndarray) -> np.ndarray:
+    """Rows of bitmaps as vectors whose inner products are the kernel."""
+    found = np.unpackbits(packed, axis=1).astype(np.float32)
+    return found / np.sqrt(found.sum(axis=1, dtype=np.float32))[:, None]
+
+
 def solve(
-    found: np.ndarray, languages: np.ndarray, max_landmarks: int = MAX_LANDMARKS, ridge: float = RIDGE
+    packed: np.ndarray, languages: np.ndarray, max_landmarks: int = MAX_LANDMARKS, ridge: float = RIDGE
 ) -> tuple[tuple[str, ...], np.ndarray]:
-    """Languages and n-gram weights from presence rows; landmarks are dealt over the languages in the order of rows."""
+    """Languages and n-gram weights from rows of bitmaps; landmarks are dealt over the languages in the order of rows.
+
+    The bitmaps are unpacked a block at a time, so the memory is that of the landmarks.
+    """
     names = tuple(sorted({str(x) for x in languages}))
-    each = max(1, max_landmarks // max(1, len(names)))
+    each = max(1, max_landmarks // len(names))
     picked = np.concatenate([np.flatnonzero(languages == x)[:each] for x in names])
-    scaled = found.astype(np.float32) / np.sqrt(found.sum(axis=1, dtype=np.int64))[:, None].astype(np.float32)
-    marks = scaled[picked]
-    kernel = (scaled @ marks.T).astype(np.float64)
-    among = kernel[picked]
+    marks = scaled(packed[picked])
+    blocks = [scaled(packed[at : at + ROWS]) @ marks.T for at in range(0, len(packed), ROWS)]
+    kernel = np.concatenate(blocks).astype(np.float64)
     wanted = (languages[:, None] == np.array(names)).astype(np.float64)
-    left = kernel.T @ kernel + len(found) * ridge * among + 1e-8 * len(found) * np.eye(len(picked))
-    return names, (marks.T @ np.linalg.solve(left, kernel.T @ wanted)).astype(np.float32)
+    left = kernel.T @ kernel + len(packed) * ridge * kernel[picked] + 1e-8 * len(packed) * np.eye(len(picked))
+    coefficients = np.linalg.solve(left, kernel.T @ wanted).astype(np.float32)
+    return names, marks.T @ coefficients
 
 
 def fit(
@@ -140,8 +149,8 @@ def fit(
     kept = sorted(r for r in sample.collect() if any(r[2]))
     if not kept:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), longest, bits)
-    found = np.stack([np.unpackbits(np.frombuffer(r[2], np.uint8)) for r in kept])
-    names, weights = solve(found, np.array([r[0] for r in kept]), max_landmarks)
+    bitmaps = np.stack([np.frombuffer(r[2], np.uint8) for r in kept])
+    names, weights = solve(bitmaps, np.array([r[0] for r in kept]), max_landmarks)
     return LanguageModel(names, weights, longest, bits)
 
 
