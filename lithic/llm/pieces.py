@@ -13,6 +13,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -24,9 +25,12 @@ from pyspark.sql import functions as F
 # The mark that stands for a space, and what undecodable bytes become.
 MARK = "▁"
 REPLACEMENT = "�"
-#: Encodings of segments that a task remembers; only speed depends on it.
-CACHE_SEGMENTS, CACHE_CHARS = 500_000, 64
+#: Encodings of segments and tests of pairs that a worker remembers; only speed depends on it.
+CACHE_SEGMENTS, CACHE_PAIRS = 500_000, 1_000_000
+#: Characters of texts whose segments are looked at together, longest segment and number of them in one table.
+CHARS, WIDE, GROUP, FEW = 4_000_000, 40, 16384, 200
 BPE = 2
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -56,20 +60,113 @@ def pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Segments(dict):
-    """Packed encodings of segments, made when first asked for; long segments are not kept."""
-
-    def __init__(self, model: Pieces):
-        self.model = model
-
-    def __missing__(self, segment: str) -> bytes:
-        found = pack(self.model.encode_segment(segment))
-        if len(segment) <= CACHE_CHARS:
-            if len(self) >= CACHE_SEGMENTS:
-                self.clear()
-            self[segment] = found
+def portions(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Texts in lists of about CHARS characters; a longer text is a list of its own."""
+    part: list[str | None] = []
+    chars = 0
+    for text in texts:
+        if part and chars + len(text or "") > CHARS:
+            yield part
+            part, chars = [], 0
+        part.append(text)
+        chars += len(text or "")
+    if part:
+        yield part
+
+
+class Table:
+    """A hash table of non-negative integers, looked up and filled by arrays."""
+
+    def __init__(self, bits: int = 12):
+        self.bits, self.count = bits, 0
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 for those that are not there."""
+        at = self.slots(keys)
+        held = self.keys[at]
+        found = np.where(held == keys, self.values[at], -1)
+        rest = np.flatnonzero((held != keys) & (held >= 0))
+        at = at[rest]
+        while len(rest):
+            at = (at + 1) & (len(self.keys) - 1)
+            held, wanted = self.keys[at], keys[rest]
+            hit = held == wanted
+            found[rest[hit]] = self.values[at[hit]]
+            go = ~hit & (held >= 0)
+            rest, at = rest[go], at[go]
         return found
 
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not there."""
+        self.count += len(keys)
+        if 2 * self.count > len(self.keys):
+            had = self.keys >= 0
+            keys, values = np.concatenate([self.keys[had], keys]), np.concatenate([self.values[had], values])
+            self.bits = int(np.ceil(np.log2(4 * len(keys))))
+            self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        at, rest = self.slots(keys), np.arange(len(keys))
+        while len(rest):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[rest[free]]  # of several the last one gets the place
+            done = self.keys[at] == keys[rest]
+            self.values[at[done]] = values[rest[done]]
+            rest, at = rest[~done], (at[~done] + 1) & (len(self.keys) - 1)
+
+
+class Machine:
+    """The automaton of all pieces as arrays, which many words walk through at once."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.letters = np.zeros(0x110000, np.int64)  # 0: in no piece
+        known = sorted({c for name in pieces for c in name})
+        self.letters[[ord(c) for c in known]] = np.arange(1, len(known) + 1)
+        self.size = len(known) + 1
+        children: list[dict[int, int]] = [{}]
+        token = [-1]
+        for name, i in pieces.items():
+            node = 0
+            for c in self.letters[[ord(c) for c in name]].tolist():
+                if c not in children[node]:
+                    children[node][c] = len(children)
+                    children.append({})
+                    token.append(-1)
+                node = children[node][c]
+            token[node] = i
+        back, shorter = [0] * len(children), [0] * len(children)  # longest suffix, and the longest that is a piece
+        order = [0]
+        for node in order:
+            for c, child in children[node].items():
+                order.append(child)
+                if node:
+                    k = back[node]
+                    while k and c not in children[k]:
+                        k = back[k]
+                    back[child] = children[k].get(c, 0)
+                k = back[child]
+                shorter[child] = k if token[k] >= 0 else shorter[k]
+        self.token, self.back, self.shorter = (np.array(x, np.int64) for x in (token, back, shorter))
+        self.first = np.where(self.token >= 0, np.arange(len(token)), self.shorter)
+        self.moves = Table()
+        edges = [(node * self.size + c, child) for node, row in enumerate(children) for c, child in row.items()]
+        self.moves.add(np.array([x for x, _ in edges], np.int64), np.array([x for _, x in edges], np.int32))
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The longest suffix of what has been read that begins some piece."""
+        out = self.moves.find(nodes * self.size + letters).astype(np.int64)
+        lost = np.flatnonzero((out < 0) & (nodes > 0) & (letters > 0))
+        nodes = nodes[lost]
+        while len(lost):
+            nodes = self.back[nodes]
+            met = self.moves.find(nodes * self.size + letters[lost])
+            out[lost] = met
+            go = (met < 0) & (nodes > 0)
+            lost, nodes = lost[go], nodes[go]
+        return np.maximum(out, 0)
+
 
 class Pieces:
     """A merge-type SentencePiece model: ``encode`` and ``decode`` agree with the library's."""
@@ -111,11 +208,15 @@ class Pieces:
                 self.automaton.add_word(name, (i, len(name)))
         if len(self.automaton):
             self.automaton.make_automaton()
+        # Characters that stand side by side in some piece; any other two are always cut apart.
+        self.touching = {pair for name in self.ids for pair in zip(name, name[1:])}
+        self.lines = not any("\n" in pair for pair in self.touching)
         self.sizes = [len(name) for name in self.names]
-        self.pairs: dict[int, bool] = {}
-        self.own: dict[int, bool] = {}
+        self.machine = Machine({name: i for name, i in self.ids.items() if name not in marks})
+        self.lengths = np.array(self.sizes)
+        self.pairs, self.tested = Table(), {}
         self.segment = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.cache = Segments(self)
+        self.cache: dict[str, bytes] = {"": b""}
 
     def merge(self, text: str) -> list[int]:
         """The encoding by merging itself: the best scored adjacent pair first, the leftmost of equals."""
@@ -168,34 +269,37 @@ class Pieces:
         return [self.ids[x] for x in parts]
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether ``left`` and then ``right`` is how their joint text is encoded (remembered)."""
-        if len(self.pairs) > 4 * CACHE_SEGMENTS:
-            self.pairs.clear()
-        found = self.merge_short(self.names[left] + self.names[right]) == [left, right]
-        self.pairs[left << 32 | right] = found
-        return found
-
-    def stands(self, token: int) -> bool:
-        """Whether merging its own text makes the piece at all (remembered)."""
-        found = self.own[token] = self.merge_short(self.names[token]) == [token]
-        return found
+        """Whether ``left`` and then ``right`` is how their joint text is encoded; after -1, how its own text is."""
+        if left < 0 or (self.names[left][-1], self.names[right][0]) not in self.touching:
+            return self.merge_short(self.names[right]) == [right]
+        return self.merge_short(self.names[left] + self.names[right]) == [left, right]
+
+    def all_fit(self, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+        """``fits`` for arrays, each pair tested once."""
+        keys = (lefts + 1) * len(self.names) + rights
+        found = self.pairs.find(keys)
+        if (new := np.unique(keys[found < 0])).size:
+            if self.pairs.count > CACHE_PAIRS:
+                self.pairs = Table()
+                new = np.unique(keys)
+            tests = [self.fits(k // len(self.names) - 1, k % len(self.names)) for k in new.tolist()]
+            self.pairs.add(new, np.array(tests, np.int32))
+            found = self.pairs.find(keys)
+        return found > 0
 
     def table(self, text: str) -> list[int]:
-        """The encoding by the table of each prefix's last token."""
+        """The encoding of one long text by the table of each prefix's last token."""
         last = [-1] * len(text)  # -1: the character is no piece and stands alone
-        pairs, own, done = self.pairs, self.own, -1
+        tested, done = self.tested, -1
+        if len(tested) > CACHE_PAIRS:
+            tested.clear()
         for end, (token, size) in self.automaton.iter(text) if len(self.automaton) else ():
             if end == done:
                 continue  # the last token is unique
-            start = end - size
-            if start < 0 or (before := last[start]) < 0:
-                fits = own.get(token)
-                if fits is None:
-                    fits = self.stands(token)
-            else:
-                fits = pairs.get(before << 32 | token)
-                if fits is None:
-                    fits = self.fits(before, token)
+            pair = (last[end - size] if size <= end else -1, token)
+            fits = tested.get(pair)
+            if fits is None:
+                fits = tested[pair] = self.fits(*pair)
             if fits:
                 last[end], done = token, end
         ids: list[int] = []
@@ -211,6 +315,42 @@ class Pieces:
         ids.reverse()
         return ids
 
+    def tables(self, words: list[str]) -> list[bytes | None]:
+        """Packed encodings of many short words by the same table, a row per word; None where a character is no piece.
+
+        ``words`` are sorted by length, so those that go on after a place are the last ones.
+        """
+        sizes = np.array([len(x) for x in words])
+        width, n = int(sizes[-1]), len(words)
+        codes = np.frombuffer("".join(x.ljust(width, "\0") for x in words).encode("utf-32-le", "surrogatepass"), "<u4")
+        letters = self.machine.letters[codes.reshape(n, width)]
+        last = np.full((n, width), -1, np.int64)
+        nodes = np.zeros(n, np.int64)
+        for end in range(width):
+            open_from = int(np.searchsorted(sizes, end, "right"))
+            nodes[open_from:] = self.machine.step(nodes[open_from:], letters[open_from:, end])
+            rows = np.arange(open_from, n)
+            at = self.machine.first[nodes[open_from:]]
+            while (met := at > 0).any():
+                rows, at = rows[met], at[met]
+                tokens = self.machine.token[at]
+                starts = end - self.lengths[tokens]
+                before = np.where(starts < 0, -1, last[rows, starts])
+                fits = self.all_fit(before, tokens)
+                last[rows[fits], end] = tokens[fits]
+                rows, at = rows[~fits], self.machine.shorter[at[~fits]]
+        ends, steps, whole = sizes - 1, [], np.ones(n, bool)
+        while (going := ends >= 0).any():
+            tokens = np.where(going, last[np.arange(n), ends], -1)
+            whole &= (tokens >= 0) | ~going
+            steps.append(tokens)
+            ends = np.where(tokens >= 0, ends - self.lengths[tokens], -1)
+        forward = np.stack(steps[::-1], axis=1)
+        kept = forward >= 0
+        data = forward[kept].astype("<u4").tobytes()
+        cuts = np.concatenate([[0], np.cumsum(kept.sum(axis=1))]) * 4
+        return [data[a:b] if ok else None for a, b, ok in zip(cuts[:-1].tolist(), cuts[1:].tolist(), whole.tolist())]
+
     def encode_segment(self, segment: str) -> list[int]:
         """A run of marks and what follows it up to the next mark."""
         run = len(segment) - len(segment.lstrip(MARK))
@@ -223,18 +363,47 @@ class Pieces:
             return self.merge(MARK * run) + ids[1:]  # the last mark didn't join the word
         return self.merge(MARK * (run - 1)) + ids
 
+    def segments(self, text: str) -> list[str]:
+        """Parts that are encoded by themselves: runs of marks with what follows, and line ends if no piece has any."""
+        if not self.by_runs:
+            return [self.prefix + text.replace(" ", MARK)] if text else []
+        text = text.replace(MARK, " ")
+        if not text:
+            return []
+        if "  " in text or (self.prefix and text[0] == " "):
+            return self.segment.findall(self.prefix + text.replace(" ", MARK))
+        cut = self.prefix + text.replace(" ", f" {MARK}")
+        return (cut.replace("\n", " \n ") if self.lines else cut).split(" ")
+
+    def learn(self, segments: set[str]) -> None:
+        """Put the encodings of segments into the cache."""
+        short = sorted((x for x in segments if len(x) <= WIDE and MARK not in x[1:]), key=len) if self.by_runs else []
+        if len(short) < FEW:
+            short = []
+        for at in range(0, len(short), GROUP):
+            words = short[at : at + GROUP]
+            self.cache.update((x, ids) for x, ids in zip(words, self.tables(words)) if ids is not None)
+        for segment in segments.difference(self.cache):
+            self.cache[segment] = pack(self.encode_segment(segment) if self.by_runs else self.merge(segment))
+
+    def encode_all(self, texts: Iterable[str | None], begin: bool = True, end: bool = True) -> list[bytes]:
+        """Ids of each whole text (null: empty) as little-endian unsigned 32-bit integers."""
+        head, tail = pack([self.bos] * begin), pack([self.eos] * end)
+        out: list[bytes] = []
+        for part in portions(texts):
+            cut = [self.segments(x or "") for x in part]
+            new = set(chain.from_iterable(cut)).difference(self.cache)
+            self.learn(new)
+            out += [b"".join((head, *map(self.cache.__getitem__, x), tail)) for x in cut]
+            for segment in new:
+                if len(segment) > WIDE:
+                    del self.cache[segment]
+            if len(self.cache) > CACHE_SEGMENTS:
+                self.cache = {"": b""}
+        return out
+
     def encode(self, text: str | None, begin: bool = True, end: bool = True) -> bytes:
-        """Ids of a whole text (null: empty) as little-endian unsigned 32-bit integers."""
-        parts = [pack([self.bos])] if begin else []
-        if text:
-            whole = self.prefix + text.replace(" ", MARK)
-            if self.by_runs:
-                parts += map(self.cache.__getitem__, self.segment.findall(whole))
-            else:
-                parts.append(pack(self.merge(whole)))
-        if end:
-            parts.append(pack([self.eos]))
-        return b"".join(parts)
+        return self.encode_all([text], begin, end)[0]
 
     def decode(self, data: bytes) -> str:
         """The text of ids: control tokens are dropped, runs of byte tokens are read as UTF-8."""
@@ -288,7 +457,7 @@ def encode(text: Column, path: str, begin: bool = True, end: bool = True) -> Col
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
         model = pieces(path)
-        return pd.Series([model.encode(x, begin, end) for x in texts], dtype=object)
+        return pd.Series(model.encode_all(texts, begin, end), dtype=object)
 
     return encoded(text)
 
