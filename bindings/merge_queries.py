@@ -15,7 +15,7 @@ from bindings.tables import (
 from lithic.functions.text import MISSING_TEXT, blank_to
 from lithic.operators.dedup import first_per_key, numeric_order
 from lithic.operators.fact import load_fact, write_fact
-from lithic.operators.joins import match_parents
+from lithic.operators.joins import lookup_join, match_parents
 from lithic.operators.keys import assign_keys
 from lithic.operators.merge import (
     cleansing_insert, ensure_unknown, insert_new, merge_bridge, merge_dimension, update_from, upsert,
@@ -372,10 +372,8 @@ def fact_load(spark, sf_dir):
     sets = unique_sets(spark, sf_dir)
     order = [*numeric_order("workout_number"), "date", *numeric_order("set_number"), "exercise"]
     names = assign_keys(exercise_tab(spark, sf_dir), "sk", numeric_order("exercise_id"))
-    kinds = assign_keys(resistance_dimension(spark, sf_dir), "sk", ["resistance_type"])
-    kinds = assign_keys(
-        kinds.withColumn("rid", F.concat(F.lit("R"), "resistance_id")).drop("sk"), "sk", numeric_order("rid")
-    )
+    kinds = resistance_dimension(spark, sf_dir).withColumn("rid", F.concat(F.lit("R"), "resistance_id"))
+    kinds = assign_keys(kinds, "sk", numeric_order("rid"))
     exercises = names.select(
         F.col("exercise_id").alias("exercise_src_id"), F.col("sk").alias("exercise_id"), "exercise_name"
     )
@@ -384,8 +382,8 @@ def fact_load(spark, sf_dir):
         F.col("exercise_name").alias("exercise"), text("exercise_id").alias("exercise_id")
     )
     by_type = kinds.select("resistance_type", F.col("resistance_src_id").alias("resistance_id"))
-    source = assign_keys(sets, "id", order).join(F.broadcast(by_name), "exercise", "left")
-    source = source.join(F.broadcast(by_type), "resistance_type", "left").withColumn("id", text("id"))
+    source = lookup_join(assign_keys(sets, "id", order), by_name, ["exercise"])
+    source = lookup_join(source, by_type, ["resistance_type"]).withColumn("id", text("id"))
     earlier = source.where(F.col("date") < CUTOFF).select(F.col("id").cast("long").alias("id"), F.col("id").alias("src_id"))
     return plain_fact(load_fact(source, exercises, kinds, earlier, BATCH))
 

@@ -9,21 +9,28 @@ from pyspark.sql import functions as F
 
 from lithic.functions.changes import all_of
 from lithic.functions.text import as_column
+from lithic.sources.shared import stable
 
 # A side is broadcast only when its measured values fit in this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond it the large side is spread over this many salts per key and the small side repeated for each.
-SALTS = 16
-
+# Types whose values take no more than the overhead that is counted anyway.
+FLAT = frozenset("boolean byte short integer long float double date timestamp timestamp_ntz void".split())
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the values of ``df`` from one aggregate over it, 16 bytes of overhead per value."""
+    """Size of the values of ``df`` from one aggregate over it, 16 bytes of overhead per value.
+
+    Arrays, structs and maps count as long as their JSON text, and 16 bytes for each of its commas.
+    """
     width = [F.lit(16 * max(1, len(df.columns)))]
-    width += [
-        F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
-        for f in df.schema.fields
-        if f.dataType.typeName() in ("string", "binary", "decimal")
-    ]
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary", "decimal"):
+            width.append(F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)))
+        elif kind in ("array", "struct", "map"):
+            text = F.to_json(F.struct(F.col(f.name)))
+            width.append(F.octet_length(text) + 16 * (F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))))
+        elif kind not in FLAT:
+            raise TypeError(f"the size of a {kind} column can't be measured")
     return df.agg(F.sum(sum(width[1:], width[0]).cast("long")).alias("n")).first()["n"] or 0
 
 
@@ -31,28 +38,52 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
+def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys with more rows than an even share of a shuffle partition, and over how many salts to spread them.
+
+    There are fewer of them than partitions, whatever the data.
+    """
+    counts = stable(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, -(-(counts.agg(F.sum("_rows")).first()[0] or 0) // partitions))
+    hot = counts.where(F.col("_rows") > share)
+    return hot.select(*(F.col(c).alias(f"_hot{i}") for i, c in enumerate(on)), F.ceil(F.col("_rows") / share).alias("_salts"))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to a lookup that has at most one row per key.
 
-    A lookup whose measured size fits is broadcast. A larger one is joined by shuffle with the key
-    salted, so the rows of one hot key (or of NULL keys) spread over ``salts`` tasks. The salt
+    A lookup whose measured size fits is broadcast. A larger one is joined by shuffle. There the rows
+    of a hot key (or of NULL keys) are spread over as many salts as the key has shares of a shuffle
+    partition, or over ``salts``, and only the lookup's rows of hot keys are repeated. The salt
     depends on the row and its input partition only: equal rows spread too, and a task that is run
     again salts its rows as before.
     """
-    if how not in ("left", "inner", "left_semi"):
-        raise ValueError(f"a lookup join is left, inner or left_semi, not {how}")
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"a lookup join is left, inner, left_semi or left_anti, not {how}")
     if fits_broadcast(lookup, max_bytes):
         return left.join(F.broadcast(lookup), list(on), how)
+    hot = hot_keys(left, on)
+    if salts is not None:
+        hot = hot.withColumn("_salts", F.lit(salts).cast("long"))
+    named = [f"_hot{i}" for i in range(len(on))]
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        # Fewer rows than shuffle partitions.
+        same = all_of(df[c].eqNullSafe(hot[h]) for c, h in zip(on, named))
+        return df.join(F.broadcast(hot), same, "left").drop(*named).withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
     spread = F.xxhash64(*left.columns, F.spark_partition_id())
-    salted = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = with_salts(left).withColumn("_salt", F.pmod(spread, "_salts")).drop("_salts")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
+    repeated = with_salts(lookup).withColumn("_salt", F.explode(numbers)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
@@ -142,4 +173,7 @@ def match_parents(df: DataFrame, parents: Sequence[tuple[DataFrame, str, Mapping
 def orphans(df: DataFrame, key: Column | str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose non-NULL key has no row in ``parent``."""
     k = as_column(key)
-    return anti_join(df.where(k.isNotNull()), parent, {"key": (k, F.col(parent_key))})
+    keyed = df.where(k.isNotNull()).withColumn("_key", k)
+    # The distinct keys meet the parent, so a hot key is one row there.
+    lost = anti_join(keyed.select("_key").distinct(), parent, {"_key": (F.col("_key"), F.col(parent_key))})
+    return lookup_join(keyed, lost, ["_key"], "left_semi").select(*df.columns)

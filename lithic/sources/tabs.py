@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lithic.sources.shared import path_exists
 
@@ -10,12 +13,18 @@ FORMATS = ("parquet", "csv", "json")
 
 
 def read_tab(
-    spark: SparkSession, path: str, name: str, file_format: str | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    name: str,
+    file_format: str | None = None,
+    multi_line: bool = True,
+    headers: Sequence[str] = (),
 ) -> DataFrame:
     """The records of one tab, by header name, from ``<path>/<name>.<format>`` (a file or a folder).
 
     Blank CSV cells are empty text, as in the sheet, not NULL. ``multi_line`` allows line breaks
-    inside quoted CSV cells; without it large CSV files can be split.
+    inside quoted CSV cells; without it large CSV files can be split. With ``headers`` JSON records
+    are read as text of these names, without a pass to find out what they hold.
     """
     found = file_format or next((f for f in FORMATS if path_exists(spark, f"{path}/{name}.{f}")), None)
     if found is None:
@@ -26,5 +35,6 @@ def read_tab(
         cells = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(location)
         return cells.fillna("")
     if found == "json":
-        return spark.read.option("primitivesAsString", True).json(location)
+        reader = spark.read.option("primitivesAsString", True)
+        return (reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in headers])) if headers else reader).json(location)
     return spark.read.parquet(location)

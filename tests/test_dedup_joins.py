@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from lithic.functions.text import normalized
 from lithic.operators.dedup import drop_duplicates, duplicate_report, first_per_key, numeric_order
-from lithic.operators.joins import anti_join, anti_join_few, fill_key, lookup_join, match_parents, measured_bytes, orphans
+from lithic.operators.joins import (
+    anti_join, anti_join_few, fill_key, hot_keys, lookup_join, match_parents, measured_bytes, orphans,
+)
 
 
 def plan(df):
@@ -106,3 +108,27 @@ def test_match_parents_drops_orphans(rows):
 
 def test_orphans_leave_out_null_keys(rows):
     assert table(orphans(rows("k", ("1",), ("2",), (None,)), "k", rows("id", ("1",)), "id")) == [("2",)]
+
+
+def test_a_lookup_of_long_arrays_is_not_broadcast(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k long")
+    lookup = spark.range(1, 3).selectExpr("id as k", "array_repeat('some words', 1000) as words")
+    assert measured_bytes(lookup) > 20000
+    joined = lookup_join(left, lookup, ["k"], max_bytes=10000)
+    assert "BroadcastHashJoin [k" not in joined._jdf.queryExecution().sparkPlan().toString().split("words")[0]
+    assert table(joined.selectExpr("k", "size(words)")) == [(1, 1000), (2, 1000)]
+
+
+def test_hot_keys_are_spread_by_their_share(spark):
+    left = spark.range(900).selectExpr("if(id < 600, 7, if(id < 700, null, id)) as k", "id")
+    hot = {r["_hot0"]: r["_salts"] for r in hot_keys(left, ["k"]).collect()}
+    assert hot == {7: 6, None: 1} or hot == {7: 6}
+    lookup = spark.createDataFrame([(7, "a"), (701, "b")], "k long, v string")
+    for how, n in (("left", 900), ("inner", 601), ("left_semi", 601), ("left_anti", 299)):
+        assert lookup_join(left, lookup, ["k"], how, max_bytes=0).count() == n
+
+
+def test_orphans_of_a_hot_key(spark):
+    df = spark.range(50).selectExpr("if(id < 40, 5, id) as k", "id")
+    parent = spark.createDataFrame([(41,), (42,)], "p long")
+    assert orphans(df, "k", parent, "p").count() == 48
