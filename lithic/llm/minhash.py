@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +24,7 @@ ERRORS = 5.0
 SEED = 20
 CACHE_WORDS = 300_000
 #: Shingles hashed at once, and members of a bucket that are compared in one go.
-SHINGLES, BLOCK = 1 << 12, 256
+SHINGLES, BLOCK = 1 << 12, 128
 
 
 class WordHashes(dict):
@@ -118,53 +119,101 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
 
 def band_keys(reps: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(id, key): a row per set and band."""
+    """(id, band, key): a row per set and band."""
     size = 4 * rows
     keys = [F.xxhash64(F.lit(k), F.substring("signature", size * k + 1, size)) for k in range(bands)]
-    return reps.select("id", F.explode(F.array(*keys)).alias("key"))
+    return reps.select("id", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
-def crossing_pairs(reps: DataFrame, buckets: DataFrame, stars: DataFrame, hashes: int, percent: int) -> DataFrame:
-    """Pairs within a bucket whose ends are in different components and whose signatures allow a link.
+def crossing_links(
+    reps: DataFrame, texts: DataFrame, buckets: DataFrame, stars: DataFrame, width: int, percent: int, bands: int, rows: int
+) -> DataFrame:
+    """Links (u, v) between members of a bucket that are in different components so far.
 
-    ``buckets`` has key, id and count. Members of a large bucket are dealt into blocks, and each pair of blocks is
-    compared by itself, so no task holds a whole bucket and no row is made for a pair that is not similar.
+    ``buckets`` has key, band and id. In a bucket every member outside its largest component meets all members of other
+    components. Both are dealt into blocks, each pair of blocks is one task's work, so no task holds a whole bucket. A
+    pair is compared in the first band alone in which it meets, by signature and then by its full sets, unless links
+    found before join it. Only links become rows, never the pairs that were compared.
     """
     share = percent / 100
-    least = max(0.0, share - ERRORS * float(np.sqrt(share * (1 - share) / hashes)))
+    least = max(0.0, share - ERRORS * float(np.sqrt(share * (1 - share) / (bands * rows))))
 
     placed = buckets.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left")
     placed = placed.withColumn("root", F.coalesce("root", "id"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    members = (
-        placed.join(mixed, "key")
-        .join(reps.select("id", "signature"), "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .agg(*(F.collect_list(c).alias(c) for c in ("id", "root", "block", "signature")))
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")
     )
-
-    def compared(batches):
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.where("roots > 1").select(
+        "key", "most.root", blocks(F.col("n")).alias("wide"), blocks(F.col("n") - F.col("most.n")).alias("high")
+    )
+    met = placed.join(mixed.withColumnRenamed("root", "main"), "key").join(reps.select("id", "signature"), "id").join(texts, "id")
+    deal, every = F.xxhash64("id"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    fields = F.struct("id", "root", "minor", "band", "signature", "text").alias("member")
+    other = met.withColumn("minor", F.lit(False)).withColumn("j", F.pmod(deal, "wide").cast("int")).withColumn("i", every("high"))
+    minor = met.where("root <> main").withColumn("minor", F.lit(True))
+    minor = minor.withColumn("i", F.pmod(deal, "high").cast("int")).withColumn("j", every("wide"))
+    columns = ["key", "i", "j", fields]
+    groups = other.select(*columns).unionByName(minor.select(*columns)).groupBy("key", "i", "j")
+    groups = groups.agg(F.collect_list("member").alias("members"))
+    groups = groups.select(*(F.col(f"members.{c}") for c in ("id", "root", "minor", "band", "signature", "text")))
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            us, vs = [], []
+            found: list[tuple[int, int]] = []
             for row in batch.itertuples(index=False):
-                ids, roots, parts = (np.asarray(x) for x in (row.id, row.root, row.block))
                 signatures = np.stack([np.frombuffer(x, "<u4") for x in row.signature])
-                for k in range(len(ids) - 1):
-                    rest = slice(k + 1, None)
-                    near = (signatures[rest] == signatures[k]).mean(axis=1) >= least
-                    near &= (roots[rest] != roots[k]) & (ids[rest] != ids[k])
-                    if row.i != row.j:
-                        near &= parts[rest] != parts[k]
-                    met = ids[rest][near]
-                    us.append(np.maximum(met, ids[k]))
-                    vs.append(np.minimum(met, ids[k]))
-            empty = [np.zeros(0, np.int64)]
-            yield pd.DataFrame({"u": np.concatenate(us + empty), "v": np.concatenate(vs + empty)})
-
-    return members.mapInPandas(compared, "u long, v long").distinct()
+                ids, roots, minors = (np.asarray(x) for x in (row.id, row.root, row.minor))
+                found += joined(ids, roots, minors, signatures, row.text, row.band[0], least, width, percent, bands)
+            yield pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
+
+    return groups.mapInPandas(linked, "u long, v long").distinct()
+
+
+def joined(
+    ids: np.ndarray,
+    roots: np.ndarray,
+    minors: np.ndarray,
+    signatures: np.ndarray,
+    texts: list[str],
+    band: int,
+    least: float,
+    width: int,
+    percent: int,
+    bands: int,
+) -> list[tuple[int, int]]:
+    """Links that join different components of the members, minors against others; likelier pairs are tried first."""
+    pairs = []
+    others = np.flatnonzero(~minors)
+    small = set(ids[minors].tolist())
+    both = np.array([x in small for x in ids[others].tolist()], bool)
+    for a in np.flatnonzero(minors).tolist():
+        same = signatures[others] == signatures[a]
+        score = same.mean(axis=1)
+        shared = same.reshape(len(others), bands, -1).all(axis=2)
+        ok = (score >= least) & shared[:, band] & (shared.argmax(axis=1) == band) & (roots[others] != roots[a])
+        ok &= ~both | (ids[others] > ids[a])  # two minors meet twice
+        pairs += [(-x, a, b) for x, b in zip(score[ok].tolist(), others[ok].tolist())]
+    parent = {r: r for r in roots.tolist()}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+    found = []
+    for _, a, b in sorted(pairs):
+        left, right = top(roots[a].item()), top(roots[b].item())
+        if left != right:
+            for k in (a, b):
+                if k not in sets:
+                    sets[k] = shingles(texts[k], width)
+            if similar(sets[a], sets[b], percent):
+                parent[max(left, right)] = min(left, right)
+                found.append((max(ids[a], ids[b]).item(), min(ids[a], ids[b]).item()))
+    return found
 
 
 def near_duplicates(
@@ -180,7 +229,7 @@ def near_duplicates(
 
     Documents with equal sets count once: the smallest id stands for them. A set meets others in buckets, one per band
     of its signature. Each member of a bucket is compared with the bucket's smallest id; members that this leaves in
-    different components are compared with one another, first by signature. A link holds only where the full sets,
+    different components are compared with one another. A link holds only where the full sets,
     taken from the whole texts again, are similar enough; the classes are the components of these links.
 
     Texts without words (null, empty) have no shingles and are linked with nothing: their component is their own id.
@@ -203,9 +252,8 @@ def near_duplicates(
     links = stable(verified(pairs, texts, width, percent))
     stars = components(links)
 
-    wider = buckets.where("count > 2").select("key", "id", "count")
-    crossing = crossing_pairs(reps, wider, stars, hashes, percent).join(pairs, ["u", "v"], "left_anti")
-    more = stable(verified(stable(crossing), texts, width, percent))
+    wider = buckets.where("count > 2").select("key", "band", "id")
+    more = stable(crossing_links(reps, texts, wider, stars, width, percent, bands, rows))
     if not more.isEmpty():
         stars = components(stars.unionByName(more))
 
