@@ -80,6 +80,9 @@ class TreeBuilder:
 
     def text(self, text: str) -> None:
         if text:
+            # The head ends where text begins, as its end tag may be left out.
+            if len(self.open) > 1 and self.open[-1].name == "head" and text.strip(" \t\n\r\f"):
+                self.open.pop()
             self.open[-1].children.append(text)
 
     def close_to(self, names: frozenset[str], stop: frozenset[str]) -> None:
@@ -95,6 +98,8 @@ class TreeBuilder:
 
     def start(self, name: str, attributes: str) -> None:
         if name in ("html", "body"):  # the tree has one of each, implied
+            if name == "body":  # ends an open head
+                self.close_to(frozenset(["head"]), frozenset(["template"]))
             return
         if name in IMPLIED:
             self.close_to(*IMPLIED[name])

@@ -28,6 +28,11 @@ CASES = {
     "x<hr>y": "x\n\n----\n\ny",
     "<textarea> t</textarea><select><option>o</select><noscript>n</noscript>": " t",
     "<a title='a > b' href=x>link</a>": "link",
+    "<head><title>T</title><body>Hello <b>x</b>": "Hello x",
+    "<html><head><title>T</title>\n<body><script>s</script>bare <i>text</i>": "bare text",
+    "<head><title>T</title>\n<script>s</script>Hello <b>x</b>": "Hello x",
+    "<head><noscript><link><body>Hello": "Hello",
+    "<head><template><body>no</template><title>T</title></head>yes": "yes",
 }
 
 
