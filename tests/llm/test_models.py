@@ -38,6 +38,16 @@ def test_languages(spark):
     assert language.identify(docs, language.fit(empty, F.lit(True))).where("language.lang_pred <> 'und'").count() == 0
 
 
+def test_a_model_is_learned_from_as_many_texts_as_stated(spark, monkeypatch):
+    seen, solve = [], language.solve
+    monkeypatch.setattr(language, "solve", lambda packed, *rest: seen.append((len(packed), *rest[1:])) or solve(packed, *rest))
+    names = F.concat(F.lit("l"), (F.col("doc_id") % 4).cast("string"))
+    docs = spark.range(4400).select(F.col("id").alias("doc_id"))
+    docs = docs.withColumns({"lang": names, "text": F.concat(names, F.lit(" some words"))})
+    assert len(language.fit(docs, F.lit(True), bits=8).languages) == 4
+    assert seen == [(4000, 400)]
+
+
 def test_presence_of_a_text_in_pieces_is_that_of_the_whole(monkeypatch):
     text = "Än 12 thér ON-" * 30
     whole = language.presence([text], 3, 12)
