@@ -23,8 +23,8 @@ BANDS, ROWS = 32, 4
 ERRORS = 5.0
 SEED = 20
 CACHE_WORDS = 300_000
-#: Shingles hashed at once, and members of a bucket that are compared in one go.
-SHINGLES, BLOCK = 1 << 12, 128
+#: Shingles hashed at once, members of a bucket that are compared in one go, and bytes of their texts on average.
+SHINGLES, BLOCK, BYTES = 1 << 12, 128, 16 << 20
 
 
 class WordHashes(dict):
@@ -125,28 +125,28 @@ def band_keys(reps: DataFrame, bands: int, rows: int) -> DataFrame:
     return reps.select("id", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
-def crossing_links(
-    reps: DataFrame, texts: DataFrame, buckets: DataFrame, stars: DataFrame, width: int, percent: int, bands: int, rows: int
-) -> DataFrame:
-    """Links (u, v) between members of a bucket that are in different components so far.
+def dealt(reps: DataFrame, texts: DataFrame, buckets: DataFrame, stars: DataFrame) -> DataFrame:
+    """Arrays id, root, minor, band, signature and text: a row per pair of blocks of a bucket with several components.
 
-    ``buckets`` has key, band and id. In a bucket every member outside its largest component meets all members of other
-    components. Both are dealt into blocks, each pair of blocks is one task's work, so no task holds a whole bucket. A
-    pair is compared in the first band alone in which it meets, by signature and then by its full sets, unless links
-    found before join it. Only links become rows, never the pairs that were compared.
+    Blocks are bounded by their members and by the bytes of their texts, so long texts make more blocks, not larger rows.
+    A text beyond that is a block of its own, but for those that a hash deals to the same one.
     """
-    share = percent / 100
-    least = max(0.0, share - ERRORS * float(np.sqrt(share * (1 - share) / (bands * rows))))
-
+    weights = texts.groupBy("id").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"))
     placed = buckets.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left")
     placed = placed.withColumn("root", F.coalesce("root", "id"))
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sizes = placed.join(weights, "id").groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     mixed = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")
+        F.max(F.struct("n", "root", "bytes")).alias("most"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.count("*").alias("roots"),
     )
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BYTES)).cast("int")
     mixed = mixed.where("roots > 1").select(
-        "key", "most.root", blocks(F.col("n")).alias("wide"), blocks(F.col("n") - F.col("most.n")).alias("high")
+        "key",
+        "most.root",
+        blocks(F.col("n"), F.col("bytes")).alias("wide"),
+        blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("high"),
     )
     met = placed.join(mixed.withColumnRenamed("root", "main"), "key").join(reps.select("id", "signature"), "id").join(texts, "id")
     deal, every = F.xxhash64("id"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -157,7 +157,22 @@ def crossing_links(
     columns = ["key", "i", "j", fields]
     groups = other.select(*columns).unionByName(minor.select(*columns)).groupBy("key", "i", "j")
     groups = groups.agg(F.collect_list("member").alias("members"))
-    groups = groups.select(*(F.col(f"members.{c}") for c in ("id", "root", "minor", "band", "signature", "text")))
+    return groups.select(*(F.col(f"members.{c}") for c in ("id", "root", "minor", "band", "signature", "text")))
+
+
+def crossing_links(
+    reps: DataFrame, texts: DataFrame, buckets: DataFrame, stars: DataFrame, width: int, percent: int, bands: int, rows: int
+) -> DataFrame:
+    """Links (u, v) between members of a bucket that are in different components so far.
+
+    ``buckets`` has key, band and id. In a bucket every member outside its largest component meets all members of other
+    components. Both are dealt into blocks, each pair of blocks is one task's work, so no task holds a whole bucket. A
+    pair is compared in the first band alone in which it meets, by signature and then by its full sets, unless links
+    found before join it. Only links become rows, never the pairs that were compared.
+    """
+    share = percent / 100
+    least = max(0.0, share - ERRORS * float(np.sqrt(share * (1 - share) / (bands * rows))))
+    groups = dealt(reps, texts, buckets, stars)
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

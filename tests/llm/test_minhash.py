@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from lithic.llm import minhash
 from lithic.llm.components import components
 
@@ -67,6 +69,20 @@ def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == brute(rows)
 
 
+def test_blocks_of_a_mixed_bucket_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BYTES", 40_000)
+    names = spark.range(60).select("id", F.lit(b"s").alias("signature"), F.repeat(F.lit("w "), 5000).alias("text"))
+    buckets = names.select(F.lit(1).alias("key"), F.lit(0).alias("band"), "id")
+    stars = names.select(F.col("id").alias("u"), F.greatest(F.lit(0), F.col("id") - 57).alias("v"))
+    rows = minhash.dealt(names.select("id", "signature"), names.select("id", "text"), buckets, stars).collect()
+    assert max(sum(map(len, r.text)) for r in rows) <= 6 * 40_000  # of 620,000
+    met = [(a, b) for r in rows for a, x in zip(r.id, r.minor) for b, y in zip(r.id, r.minor) if x and not y]
+    assert sorted(met) == [(a, b) for a in (58, 59) for b in range(60)]
+    docs = corpus(4)
+    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == brute(docs)
+
+
 def test_nulls_long_texts_repeated_rows_and_empty_tables(spark):
     long = " ".join(f"w{k}" for k in range(60000))
     rows = [(4, None), (5, ""), (6, None), (3, long), (2, long + " end"), (2, long + " end"), (None, long), (None, None)]
