@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lithic.sources.shared import stable
+
 UNKNOWN = "und"
 LONGEST = 3
 #: n-grams are told apart by this many bits of their hash.
@@ -112,6 +114,26 @@ def solve(
     return names, marks.T @ coefficients
 
 
+def smallest_hashes(rows: DataFrame, key: str, language: str, counts: dict[str, int], each: int) -> DataFrame:
+    """(language, key, _hash): the distinct keys of each language's ``each`` smallest hashes, and few more.
+
+    ``counts`` has the rows of each language. A hash below the share that is wanted, and some, is found without ranking
+    all rows; a language that gets too few, as its keys repeat, gets a higher share.
+    """
+    spark, places = rows.sparkSession, rows.select(language, key, F.xxhash64(key).alias("_hash"))
+    share = {x: (each + 6 * each**0.5 + 10) / n for x, n in counts.items()}
+    while True:
+        limits = [(x, min((1 << 63) - 1, int(min(1.0, y) * (1 << 64)) - (1 << 63))) for x, y in share.items()]
+        limits = spark.createDataFrame(limits, "_language string, _limit long")
+        met = places.join(F.broadcast(limits), F.col(language) == F.col("_language"))
+        near = stable(met.where("_hash <= _limit").select(language, key, "_hash").distinct())
+        found = dict(map(tuple, near.groupBy(language).count().collect()))
+        short = [x for x, y in share.items() if y < 1 and found.get(x, 0) < each]
+        if not short:
+            return near
+        share |= {x: 4 * share[x] for x in short}
+
+
 def fit(
     docs: DataFrame,
     learn: Column,
@@ -134,9 +156,9 @@ def fit(
     if not known:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), longest, bits)
     each = max(1, max_texts // len(known))
+    near = smallest_hashes(rows, key, language, dict(map(tuple, known)), each)
     order = Window.partitionBy(language).orderBy("_hash", key)
-    places = rows.select(language, key, F.xxhash64(key).alias("_hash"))
-    chosen = places.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= each).select(key)
+    chosen = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= each).select(key)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:

@@ -48,6 +48,18 @@ def test_a_model_is_learned_from_as_many_texts_as_stated(spark, monkeypatch):
     assert seen == [(4000, 400)]
 
 
+def test_few_rows_are_ranked_for_the_sample(spark):
+    hashed = F.xxhash64("doc_id").alias("h")
+    docs = spark.range(40000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 30000, "aa").otherwise("bb").alias("lang"))
+    hot = docs.where("doc_id = 7").crossJoin(spark.range(50000)).select("doc_id", "lang")
+    for rows, counts in ((docs, {"aa": 30000, "bb": 10000}), (docs.unionByName(hot), {"aa": 80000, "bb": 10000})):
+        near = language.smallest_hashes(rows, "doc_id", "lang", counts, 300).collect()
+        for name in counts:
+            got = sorted(r["_hash"] for r in near if r.lang == name)
+            want = sorted(r.h for r in docs.where(F.col("lang") == name).select(hashed).collect())
+            assert got[:300] == want[:300] and len(got) < 1500
+
+
 def test_presence_of_a_text_in_pieces_is_that_of_the_whole(monkeypatch):
     text = "Än 12 thér ON-" * 30
     whole = language.presence([text], 3, 12)
