@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithic.llm import extraction, language, minhash, mixing, neighbours, pieces, preferences, quality, toxicity, warc
+from lithic.llm import (
+    extraction,
+    language,
+    minhash,
+    mixing,
+    neighbours,
+    pieces,
+    preferences,
+    quality,
+    ranked,
+    sharding,
+    toxicity,
+    warc,
+)
 from lithic.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +169,47 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_kd_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes, split by source, language and length."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    return sharding.partition(docs, ("source", "lang", "n_chars"), shards=8)
+
+
+@query
+def op12_range_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item, by an index of all documents."""
+    indexed = ranked.index(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ranked.search(indexed, read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLES["op12_range_maxima"] = r"""
+WITH lowered AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), words AS (
+  SELECT doc_id, r, len(terms) AS n, unnest(terms) AS term FROM lowered
+), counts AS (
+  SELECT doc_id, r, n, term, count(*) AS tf FROM words GROUP BY ALL
+), stats AS (
+  SELECT count(*) AS big_n, sum(len(terms))::BIGINT AS big_l FROM lowered WHERE len(terms) > 0
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, stats GROUP BY term
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), scored AS (
+  SELECT item_id, doc_id, r,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term), stats GROUP BY ALL
+), ranks AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranks WHERE rank <= 50"""
