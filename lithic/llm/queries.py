@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lithic.llm import (
+    alignment,
     extraction,
     language,
     minhash,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn: Query) -> Query:
@@ -213,3 +215,10 @@ WITH lowered AS (
   FROM scored WHERE score > 0
 )
 SELECT * FROM ranks WHERE rank <= 50"""
+
+
+@query
+def op13_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' encodings of every document fit each other, with counts over all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, (*BYTE_LEVEL, PIECES))
