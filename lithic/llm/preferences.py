@@ -6,9 +6,11 @@ each pair together where one text per pair is wanted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lithic.operators.keys import assign_keys
+
 # Fixed values of the format that is written.
 START, BREAK, END = "<|im_start|>", "\n", "<|im_end|>\n"
 ASSISTANT = "assistant"
@@ -18,13 +20,14 @@ def numbered(turns: DataFrame) -> DataFrame:
     """(pair_id, place, role, text): turns (pair_id, turn, role, text) by their place from 0 in the conversation.
 
     Turns go by their number, then by role and text; a null role is a user's, a null text empty. Rows without a pair id
-    or a turn number take no part.
+    or a turn number take no part. All turns are numbered in one order, which splits a long conversation over tasks.
     """
-    order = Window.partitionBy("pair_id").orderBy("turn", "role", "text")
     rows = turns.where("pair_id is not null and turn is not null").select(
         "pair_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return rows.select("pair_id", (F.row_number().over(order) - 1).cast("long").alias("place"), "role", "text")
+    placed = assign_keys(rows, "_n", ["pair_id", "turn", "role", "text"])
+    first = placed.groupBy("pair_id").agg(F.min("_n").alias("_first"))
+    return placed.join(first, "pair_id").select("pair_id", (F.col("_n") - F.col("_first")).alias("place"), "role", "text")
 
 
 def plain(text: Column) -> Column:
@@ -86,15 +89,22 @@ def examples(rows: DataFrame) -> DataFrame:
 def with_neighbours_answer(turns: DataFrame, conversation: str = "conv_id") -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns made from conversations: rejected ends with the neighbour's last answer.
 
-    The neighbour of conversation n has the number n xor 1. Conversations without an answer of an assistant, or whose
-    neighbour has none, make no pair. What comes after the last answer is left out on both sides.
+    Conversations with an answer of an assistant are numbered by their id from 0. The neighbours are 0 and 1, 2 and 3 and
+    so on; where one is left over its neighbour is the one before it. So every answered conversation makes a pair, unless
+    it is the only one. Chosen has all of its turns, rejected those before its last answer and then the neighbour's.
+    Conversations without an answer make no pair, and rows without an id or a turn number take no part. Repeated rows
+    are turns of their own. An empty table gives empty ones; other columns are not looked at.
     """
-    named = turns.withColumnRenamed(conversation, "pair_id").where("pair_id is not null and turn is not null")
+    named = turns.select(F.col(conversation).alias("pair_id"), "turn", "role", "text")
+    named = named.where("pair_id is not null and turn is not null")
     last = F.max(F.struct("turn", "text"))
     answers = named.where(F.col("role") == ASSISTANT).groupBy("pair_id").agg(last.alias("last"))
-    other = answers.select(F.col("pair_id").bitwiseXOR(1).alias("pair_id"), F.col("last.text").alias("answer"))
-    ends = answers.select("pair_id", F.col("last.turn").alias("end")).join(other, "pair_id")
-    cut = named.join(ends, "pair_id").where("turn <= end")
+    placed = assign_keys(answers.select("pair_id", "last.turn", "last.text"), "n", ["pair_id"], start=-1)
+    highest = placed.agg(F.max("n")).first()[0] or 0
+    lone = (F.col("n") == highest) & (F.col("n") % 2 == 0)
+    of = placed.select("pair_id", "turn", F.when(lone, F.col("n") - 1).otherwise(F.col("n").bitwiseXOR(1)).alias("n"))
+    ends = of.join(placed.select("n", F.col("text").alias("answer")), "n").select("pair_id", F.col("turn").alias("end"), "answer")
+    cut = named.join(ends, "pair_id")
     chosen = cut.select("pair_id", "turn", "role", "text")
     before = cut.where("turn < end").select("pair_id", "turn", "role", "text")
     answer = ends.select("pair_id", F.col("end").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col("answer").alias("text"))

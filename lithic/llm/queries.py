@@ -50,7 +50,10 @@ def fold(key: str, of: int) -> Column:
 
 @query
 def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of preference pairs, whose rejected side ends with the answer of another conversation."""
+    """Turns of preference pairs, whose rejected side ends with the answer of another conversation.
+
+    Every answered conversation makes a pair, and its chosen side has all of its turns.
+    """
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return preferences.aligned(*preferences.with_neighbours_answer(turns))
 
@@ -61,10 +64,13 @@ WITH named AS (
 ), answers AS (
   SELECT pair_id, turn AS last_turn, text AS answer FROM named WHERE role = 'assistant'
   QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC NULLS LAST) = 1
+), places AS (
+  SELECT *, row_number() OVER (ORDER BY pair_id) - 1 AS n, count(*) OVER () - 1 AS highest FROM answers
 ), ends AS (
-  SELECT a.pair_id, a.last_turn, b.answer FROM answers a JOIN answers b ON b.pair_id = xor(a.pair_id, 1)
+  SELECT a.pair_id, a.last_turn, b.answer FROM places a
+    JOIN places b ON b.n = CASE WHEN a.n = a.highest AND a.n % 2 = 0 THEN a.n - 1 ELSE xor(a.n, 1) END
 ), left_turns AS (
-  SELECT n.* FROM named n JOIN ends USING (pair_id) WHERE turn <= last_turn
+  SELECT n.* FROM named n JOIN ends USING (pair_id)
 ), right_turns AS (
   SELECT n.* FROM named n JOIN ends USING (pair_id) WHERE turn < last_turn
   UNION ALL SELECT pair_id, last_turn, 'assistant', answer FROM ends

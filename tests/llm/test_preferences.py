@@ -61,9 +61,26 @@ def test_empty_tables_and_repeated_rows(spark):
 
 
 def test_neighbours_answer(spark):
-    turns = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "z"), (1, 0, "user", "r"), (1, 1, "assistant", "b")]
-    turns += [(2, 0, "user", "q"), (3, 0, "assistant", "c"), (None, 0, "assistant", "c")]
-    frame = spark.createDataFrame([(*x, 1) for x in turns], "conv_id long, turn long, role string, text string, answer int")
+    turns = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "z"), (5, 0, "user", "r"), (5, 1, "assistant", "b")]
+    turns += [(2, 0, "user", "q"), (8, 0, "assistant", "c"), (8, 1, None, "y"), (None, 0, "assistant", "c"), (3, None, "assistant", "c")]
+    frame = spark.createDataFrame([(*x, 1, 2) for x in turns], "conv_id long, turn long, role string, text string, answer int, end int")
     chosen, rejected = preferences.with_neighbours_answer(frame)
-    assert sorted(map(tuple, chosen.collect())) == [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (1, 0, "user", "r"), (1, 1, "assistant", "b")]
-    assert sorted(map(tuple, rejected.collect())) == [(0, 0, "user", "q"), (0, 1, "assistant", "b"), (1, 0, "user", "r"), (1, 1, "assistant", "a")]
+    assert sorted(map(tuple, chosen.collect())) == [x for x in turns[:5]] + [(8, 0, "assistant", "c"), (8, 1, None, "y")]
+    assert sorted(map(tuple, rejected.collect())) == [
+        (0, 0, "user", "q"), (0, 1, "assistant", "b"), (5, 0, "user", "r"), (5, 1, "assistant", "a"), (8, 0, "assistant", "b"),
+    ]
+    alone = frame.where("conv_id in (0, 2)")
+    assert [x.count() for x in preferences.with_neighbours_answer(alone)] == [0, 0]
+    assert [x.count() for x in preferences.with_neighbours_answer(frame.limit(0))] == [0, 0]
+
+
+def test_ids_with_gaps_and_long_conversations_lose_no_answer(spark):
+    turns = [(2 * p, t, "assistant" if t % 2 else "user", f"{p} {t}") for p in range(7) for t in range(p + 1)]
+    turns += [(100, t, "assistant" if t % 2 else "user", "x" * 5000) for t in range(2001)]
+    chosen, rejected = preferences.with_neighbours_answer(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    rows = preferences.aligned(chosen, rejected)
+    answered = {p for p, _, role, _ in turns if role == "assistant"}
+    assert {r.pair_id for r in rows.select("pair_id").distinct().collect()} == answered
+    kept = rows.where("part <> 'rejected'").groupBy("pair_id").count().collect()
+    assert dict(map(tuple, kept)) == {p: sum(x[0] == p for x in turns) for p in answered}
+    assert rows.where("part = 'rejected'").groupBy("pair_id").count().where("count <> 1").count() == 0
