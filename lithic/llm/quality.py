@@ -88,12 +88,13 @@ def rate(
 ) -> DataFrame:
     """Add a struct ``into`` with the counts, the compression ratios and the verdict ``kept`` of each whole text.
 
-    ``ratio`` is compressed over plain bytes of the whole text, ``bad_chunks`` the share of its full chunks of
-    ``chunk_bytes`` whose own ratio leaves ``chunk_band``: it finds a repetitive or random part that the rest of a long
+    ``ratio`` is compressed over plain bytes of the whole text, ``bad_chunks`` the share of its chunks of
+    ``chunk_bytes``, the last of which ends with the text, whose own ratio leaves ``chunk_band``: it finds a repetitive or random part that the rest of a long
     text hides. A text is kept if it passes the base rules, its ratio lies in the band of its length and not too many
     of its chunks are bad.
 
-    A null text counts as empty; an empty text has no words, no ratio (null) and fails the base rules. Equal rows get
+    A text shorter than a chunk has none: its ``bad_chunks`` are 0 and its own ratio alone decides. Texts are taken whole,
+    however long. A null text counts as empty; an empty text has no words, no ratio (null) and fails the base rules. Equal rows get
     equal results. A column of the name ``into`` is replaced, all others stay. No table is too small: no rows, no result.
     """
     limits = tuple(sorted(bands))
@@ -110,9 +111,11 @@ def rate(
             ratio, bad, kept = None, 0.0, False
             if data:
                 ratio = len(press.compress(data)) / len(data)
-                whole = range(0, len(data) - chunk_bytes + 1, chunk_bytes)
-                if whole:
-                    parts = [len(press.compress(data[k : k + chunk_bytes])) / chunk_bytes for k in whole]
+                starts = [*range(0, len(data) - chunk_bytes + 1, chunk_bytes)]
+                if starts and len(data) % chunk_bytes:
+                    starts.append(len(data) - chunk_bytes)  # the end of the text lies in a chunk too
+                if starts:
+                    parts = [len(press.compress(data[k : k + chunk_bytes])) / chunk_bytes for k in starts]
                     bad = sum(not chunk_band[0] <= x <= chunk_band[1] for x in parts) / len(parts)
                 low, high = band(len(data), limits)
                 kept = not failed and low <= ratio <= high and bad <= max_bad_chunks

@@ -67,3 +67,14 @@ def test_extra_columns_and_empty_tables(spark):
 def test_repeat_words(words):
     want = len(words) if len(words) > 9 or len(words) == 9 else 0
     assert quality.repeat_words(words) == want
+
+
+def test_the_end_of_a_text_lies_in_a_chunk(spark):
+    rnd = random.Random(6)
+    letters = "".join(rnd.choice("etaoinshrdlu ") for _ in range(4096))
+    noise = "".join(chr(rnd.randrange(33, 127)) for _ in range(2040))
+    rows = [(1, letters), (2, letters + noise), (3, letters[:2047]), (4, letters[:2049])]
+    out = quality.rate(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "quality.bad_chunks")
+    got = {r.doc_id: r.bad_chunks for r in out.collect()}
+    assert got[1] == got[3] == got[4] == 0.0 and got[2] > 0.3
+    assert quality.rate(spark.createDataFrame([(1, "word " * 2_000_000)], "doc_id long, text string")).count() == 1
