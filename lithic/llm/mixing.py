@@ -19,8 +19,9 @@ from lithic.sources.shared import stable
 WEIGHTS = (3, 1, 2)
 #: The mix as a share of all words, and how often a source may be used at most.
 SHARE, MOST = 1.5, 2
-#: Words of a block, and words of a shard on average.
-BLOCK, SHARD = 16, 1_000_000
+#: Words of a block at most, blocks that the smallest target gets at least (of one word each if need be), and words of a
+#: shard on average.
+BLOCK, LEAST, SHARD = 16, 16, 1_000_000
 #: What separates words (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 7
@@ -100,7 +101,8 @@ def mix(
     """(``key``, size, source_size, target, taken, first) for every row: the words that the mix takes of it.
 
     ``taken`` counts repeated passes, ``most`` times the size at most; the pass that ends within a document takes its
-    ``first`` words (0 if none does). A source takes its target but for about a block per shard. A text that is null or
+    ``first`` words (0 if none does). A source takes its target but for about a block per shard; blocks are
+    ``block`` words, or fewer where the smallest target asks for it. A text that is null or
     has no word takes no part, with 0 taken; a null source is a source of its own; rows that are alike, also in the key,
     share the outcome of their place in the seeded order; ``keep_twin`` adds the hash of the text. Reruns agree, whatever the partitioning. An empty table gives
     an empty result.
@@ -117,6 +119,8 @@ def mix(
     sized = sized.withColumn("unnamed", F.col("source").isNull()).withColumn("name", F.coalesce("source", F.lit("")))
     sizes = sized.groupBy("source", *names).agg(F.sum("size").alias("source_size"))
     per_source = stable(targets(sizes, weights, share, most))
+    smallest = per_source.where("target > 0").agg(F.min("target")).first()[0]
+    block = max(1, min(block, int((smallest or 0) // LEAST)))
     blocks = F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")
     votes = per_source.select(*names, F.col("target").alias("votes"), blocks.alias("seats"))
     seats = apportion(votes, names, "seats").withColumnRenamed("quota", "seats")

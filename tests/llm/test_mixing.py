@@ -91,3 +91,11 @@ def test_empty_and_wordless_tables(spark):
     docs = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string")
     assert {(r["size"], r.target, r.taken) for r in mixing.mix(docs).collect()} == {(0, 0.0, 0)}
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_a_tiny_source_gets_its_target_with_the_usual_block(spark):
+    rows = [(k, "w " * 100, "big") for k in range(20)] + [(100, "one two three", "small"), (101, "one", None)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source, ids in (("small", {100}), (None, {101}), ("big", set(range(20)))):
+        own = [r for r in out if r.doc_id in ids]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1, source
