@@ -23,6 +23,8 @@ SEED = 11
 ERRORS = 4.5
 #: Queries and candidates that one task compares, and candidates estimated by one matrix product.
 QUERIES, CANDIDATES, TILE = 2048, 65536, 2048
+#: What single precision may add to the error of an estimate, as a share of the product of the norms.
+ROUNDING = 1e-5
 #: Pairs reranked at once.
 PAIRS = 1 << 16
 
@@ -34,12 +36,19 @@ def rotation(size: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors times a power of two each that brings their largest component to 0.5 to 1, and the exponents taken out."""
+    exponents = np.frexp(np.abs(vectors).max(axis=1))[1]
+    return np.ldexp(vectors, -exponents[:, None]), exponents
+
+
 def codes(vectors: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed signs of the turned vectors, their norms, and the inner products of turned unit vectors and unit signs."""
+    vectors, exponents = scaled(vectors)  # squares would overflow or vanish otherwise
     norms = np.linalg.norm(vectors, axis=1)
     turned = (vectors / norms[:, None]) @ rotation(vectors.shape[1], seed)
     aligned = np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
-    return np.packbits(turned > 0, axis=1), norms, aligned
+    return np.packbits(turned > 0, axis=1), np.ldexp(norms, exponents), aligned
 
 
 def nearest(
@@ -56,6 +65,8 @@ def nearest(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score) of the ``k`` best of these candidates for each query, but for the query's own id."""
     size = vectors.shape[1]
+    # Powers of two are taken out of the queries and put back into the scores, which changes no bit of them.
+    queries, exponents = scaled(queries)
     lengths = np.linalg.norm(queries, axis=1)
     turned = (queries @ rotation(size, seed)).astype(np.float32)
     best = np.full((len(queries), k), -np.inf)
@@ -66,15 +77,15 @@ def nearest(
         part = slice(at, at + TILE)
         signs = np.unpackbits(packed[part], axis=1, count=size).astype(np.float32) * 2 - 1
         scale = norms[part] / (aligned[part] * np.sqrt(size))
-        about = (turned @ signs.T) * scale.astype(np.float32)
-        slack = errors * lengths[:, None] * spread[None, part]
+        about = (turned @ signs.T) * scale
+        slack = lengths[:, None] * (errors * spread[part] + ROUNDING * norms[part])
         own = query_ids[:, None] == ids[None, part]
         floor = best[:, -1]
         if about.shape[1] > k:  # the k-th best lower bound of this tile may be above what has been found
             low = np.where(own, -np.inf, about - slack)
             floor = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k])
-        # Rounding of the estimates, which are single-precision, mustn't drop a tie.
-        rows, cols = np.nonzero((about + slack >= (floor - 1e-5 * (1 + np.abs(floor)))[:, None]) & ~own)
+        # Rounding mustn't drop a tie.
+        rows, cols = np.nonzero((about + slack >= (floor - 1e-9 * np.abs(floor))[:, None]) & ~own)
         scores = np.empty(len(rows))
         for cut in range(0, len(rows), PAIRS):
             some = slice(cut, cut + PAIRS)
@@ -83,7 +94,7 @@ def nearest(
         rows, found, scores = rows[keep], ids[part][cols[keep]], scores[keep]
         merge(best, best_ids, rows, found, scores)
     rows, places = np.nonzero(best > -np.inf)
-    return query_ids[rows], best_ids[rows, places], best[rows, places]
+    return query_ids[rows], best_ids[rows, places], np.ldexp(best[rows, places], exponents[rows])
 
 
 def merge(best: np.ndarray, best_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
@@ -118,7 +129,8 @@ def index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", se
     """(id, v, size, code, norm, aligned) of every vector that takes part, as written to the shared folder.
 
     Vectors that are null, empty, zero, or hold a null or non-finite component take no part, nor do rows with a null id.
-    Of rows that share an id the smallest vector counts, so repeated rows count once.
+    Of rows that share an id the smallest vector counts, so repeated rows count once. Very small and very large components
+    are told apart as any others, as long as norms are finite in double precision.
     """
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -64,3 +64,16 @@ def test_codes_are_deterministic_and_bound_the_error():
     spread = np.sqrt(1 - aligned**2) / aligned / np.sqrt(63) * norms * np.linalg.norm(queries, axis=1)[:, None]
     off = np.abs(about - queries @ base.T) / spread
     assert 0.9 < np.sqrt((off**2).mean()) < 1.1 and (off > neighbours.ERRORS).mean() < 1e-4
+
+
+def test_very_small_and_very_large_vectors_are_found(spark):
+    draw = np.random.default_rng(8)
+    rows = {k: draw.standard_normal(16) for k in range(60)}
+    rows |= {7: rows[7] * 1e-200, 8: rows[8] * 1e200, 9: rows[9] * 3e30, 10: rows[10] * 1e-310, 40: rows[40] * 1e-200}
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in rows.items()], "vec_id long, embedding array<double>")
+    want, got = brute(rows, lambda i: i % 5 == 0, 59), found(frame, F.col("id") % 5 == 0, k=59)
+    for i in want:
+        assert sorted(j for j, _ in got[i]) == sorted(rows.keys() - {i})
+        assert np.allclose([s for _, s in got[i]], [s for _, s in want[i]], rtol=1e-9)
+    few = found(frame, F.col("id") % 5 == 0, k=3, block=9)
+    assert {i: [j for j, _ in x] for i, x in few.items()} == {i: [j for j, _ in x[:3]] for i, x in want.items()}
