@@ -22,7 +22,8 @@ BANDS, ROWS = 32, 4
 #: Minima agree as often as the sets overlap. 5 standard deviations below the threshold nothing more is compared.
 ERRORS = 5.0
 SEED = 20
-CACHE_WORDS = 300_000
+#: Words whose hashes a task remembers; only speed depends on it.
+CACHE_WORDS = 200_000
 #: Shingles hashed at once, members of a bucket that are compared in one go, and bytes of their texts on average.
 SHINGLES, BLOCK, BYTES = 1 << 12, 128, 16 << 20
 
@@ -38,23 +39,19 @@ class WordHashes(dict):
         return found
 
 
-@lru_cache(maxsize=1)
-def remembered() -> WordHashes:
-    return WordHashes()
-
-
 @lru_cache(maxsize=4)
 def factors(n: int, seed: int) -> np.ndarray:
     """Odd 64-bit factors."""
     return np.random.default_rng(seed).integers(0, 1 << 64, n, np.uint64, endpoint=False) | np.uint64(1)
 
 
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+def shingles(text: str | None, width: int = WIDTH, known: WordHashes | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a whole text; of all its words, if they are fewer."""
+    known = WordHashes() if known is None else known
     words = text.encode().lower().split() if text else []  # bytes: A-Z alone get lower, ASCII spaces alone split
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(remembered().__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(width, len(words))
     count, by = len(words) - size + 1, factors(width + 1, SEED + 1)
     mixed = np.full(count, np.uint64(size)) * by[width]
@@ -85,16 +82,18 @@ def signed(docs: DataFrame, key: str, text: str, width: int, hashes: int) -> Dat
     """id, n (set size), digest (of the set) and signature of every document; the latter two null if the set is empty."""
 
     @F.pandas_udf("n long, digest binary, signature binary")
-    def signatures(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in texts:
-            found = shingles(value, width)
-            if len(found):
-                digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((len(found), digest, minima(found, hashes).tobytes()))
-            else:
-                rows.append((0, None, None))
-        return pd.DataFrame(rows, columns=["n", "digest", "signature"])
+    def signatures(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for texts in parts:
+            rows = []
+            for value in texts:
+                found = shingles(value, width, known)
+                if len(found):
+                    digest = xxhash.xxh3_128_digest(found.tobytes())
+                    rows.append((len(found), digest, minima(found, hashes).tobytes()))
+                else:
+                    rows.append((0, None, None))
+            yield pd.DataFrame(rows, columns=["n", "digest", "signature"])
 
     return docs.select(F.col(key).alias("id"), signatures(F.col(text)).alias("s")).select("id", "s.*")
 
@@ -103,14 +102,15 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     """The pairs (u, v) whose full sets are similar enough; ``texts`` has id and text of all of them."""
 
     @F.pandas_udf("boolean")
-    def linked(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-        last, found = None, np.zeros(0, np.uint64)
-        out = []
-        for left, right in zip(lefts, rights):
-            if left != last:  # rows of one smaller document mostly stand together
-                last, found = left, shingles(left, width)
-            out.append(similar(found, shingles(right, width), percent))
-        return pd.Series(out, dtype=bool)
+    def linked(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known, last, found = WordHashes(), None, np.zeros(0, np.uint64)
+        for lefts, rights in parts:
+            out = []
+            for left, right in zip(lefts, rights):
+                if left != last:  # rows of one smaller document mostly stand together
+                    last, found = left, shingles(left, width, known)
+                out.append(similar(found, shingles(right, width, known), percent))
+            yield pd.Series(out, dtype=bool)
 
     larger = texts.select(F.col("id").alias("u"), F.col("text").alias("right"))
     smaller = texts.select(F.col("id").alias("v"), F.col("text").alias("left"))
@@ -175,12 +175,13 @@ def crossing_links(
     groups = dealt(reps, texts, buckets, stars)
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for batch in batches:
             found: list[tuple[int, int]] = []
             for row in batch.itertuples(index=False):
                 signatures = np.stack([np.frombuffer(x, "<u4") for x in row.signature])
                 ids, roots, minors = (np.asarray(x) for x in (row.id, row.root, row.minor))
-                found += joined(ids, roots, minors, signatures, row.text, row.band[0], least, width, percent, bands)
+                found += joined(ids, roots, minors, signatures, row.text, row.band[0], least, width, percent, bands, known)
             yield pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
 
     return groups.mapInPandas(linked, "u long, v long").distinct()
@@ -197,6 +198,7 @@ def joined(
     width: int,
     percent: int,
     bands: int,
+    known: WordHashes,
 ) -> list[tuple[int, int]]:
     """Links that join different components of the members, minors against others; likelier pairs are tried first."""
     pairs = []
@@ -224,7 +226,7 @@ def joined(
         if left != right:
             for k in (a, b):
                 if k not in sets:
-                    sets[k] = shingles(texts[k], width)
+                    sets[k] = shingles(texts[k], width, known)
             if similar(sets[a], sets[b], percent):
                 parent[max(left, right)] = min(left, right)
                 found.append((max(ids[a], ids[b]).item(), min(ids[a], ids[b]).item()))

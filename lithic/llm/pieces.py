@@ -25,10 +25,13 @@ from pyspark.sql import functions as F
 # The mark that stands for a space, and what undecodable bytes become.
 MARK = "▁"
 REPLACEMENT = "�"
-#: Encodings of segments and tests of pairs that a worker remembers; only speed depends on it.
-CACHE_SEGMENTS, CACHE_PAIRS = 500_000, 1_000_000
+#: Bytes of segments' encodings and number of tests of pairs that are remembered, until a task ends at the latest; only
+#: speed depends on it. An entry takes about ``ENTRY`` bytes besides its own.
+CACHE_BYTES, CACHE_PAIRS, ENTRY = 64 << 20, 200_000, 200
 #: Characters of texts whose segments are looked at together, longest segment and number of them in one table.
-CHARS, WIDE, GROUP, FEW = 4_000_000, 40, 16384, 200
+CHARS, WIDE, GROUP, FEW = 1_000_000, 40, 16384, 200
+#: Texts encoded and decoded before they are handed on.
+ROWS = 512
 BPE = 2
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -214,9 +217,14 @@ class Pieces:
         self.sizes = [len(name) for name in self.names]
         self.machine = Machine({name: i for name, i in self.ids.items() if name not in marks})
         self.lengths = np.array(self.sizes)
-        self.pairs, self.tested = Table(), {}
         self.segment = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what texts have left behind; the model stays."""
+        self.pairs, self.tested = Table(), {}
         self.cache: dict[str, bytes] = {"": b""}
+        self.held = 0
 
     def merge(self, text: str) -> list[int]:
         """The encoding by merging itself: the best scored adjacent pair first, the leftmost of equals."""
@@ -398,8 +406,10 @@ class Pieces:
             for segment in new:
                 if len(segment) > WIDE:
                     del self.cache[segment]
-            if len(self.cache) > CACHE_SEGMENTS:
-                self.cache = {"": b""}
+                else:
+                    self.held += ENTRY + len(segment) + len(self.cache[segment])
+            if self.held > CACHE_BYTES:
+                self.cache, self.held = {"": b""}, 0
         return out
 
     def encode(self, text: str | None, begin: bool = True, end: bool = True) -> bytes:
@@ -455,9 +465,14 @@ def encode(text: Column, path: str, begin: bool = True, end: bool = True) -> Col
     """
 
     @F.pandas_udf("binary")
-    def encoded(texts: pd.Series) -> pd.Series:
+    def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = pieces(path)
-        return pd.Series(model.encode_all(texts, begin, end), dtype=object)
+        try:
+            for texts in parts:
+                for at in range(0, len(texts), ROWS):
+                    yield pd.Series(model.encode_all(texts.iloc[at : at + ROWS], begin, end), dtype=object)
+        finally:
+            model.forget()
 
     return encoded(text)
 
@@ -474,5 +489,25 @@ def decode(ids: Column, path: str) -> Column:
 
 
 def with_pieces(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Add the ids of each whole text and the text they decode to; columns of these names are replaced."""
-    return docs.withColumn(ids, encode(F.col(text), path)).withColumn(decoded, decode(F.col(ids), path))
+    """Add the ids of each whole text and the text they decode to; columns of these names are replaced.
+
+    A null or empty text gives the begin and end ids alone, which decode to an empty text. Equal rows get equal results,
+    an empty table an empty one, and other columns stay. Texts are taken whole, however long.
+    """
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = pieces(path)
+        try:
+            for texts in parts:
+                for at in range(0, len(texts), ROWS):
+                    found = model.encode_all(texts.iloc[at : at + ROWS])
+                    yield pd.DataFrame({"ids": found, "decoded": list(map(model.decode, found))}, dtype=object)
+        finally:
+            model.forget()
+
+    name = "_pieces"
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    found = docs.withColumn(name, both(F.col(text)))
+    return found.withColumns({ids: F.col(name)["ids"], decoded: F.col(name)["decoded"]}).drop(name)
