@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bindings import sql
 from bindings.registry import query
@@ -15,14 +18,17 @@ from bindings.tables import (
 from lithic.functions.text import MISSING_TEXT, blank_to
 from lithic.operators.dedup import first_per_key, numeric_order
 from lithic.operators.fact import load_fact, write_fact
+from lithic.operators.feed import change_feed
 from lithic.operators.joins import lookup_join, match_parents
 from lithic.operators.keys import assign_keys
 from lithic.operators.merge import (
     cleansing_insert, ensure_unknown, insert_new, merge_bridge, merge_dimension, update_from, upsert,
 )
+from lithic.operators.rules import foreign_name, judged
 from lithic.plans import reports
 from lithic.plans import schemas as s
-from lithic.plans.run import run_tabs
+from lithic.plans.rollup import roll_up
+from lithic.plans.run import QUARANTINE, Run, run_tabs
 from lithic.sources.shared import scratch_path
 from lithic.sources.tables import TableStore, append
 
@@ -470,6 +476,66 @@ def sets_by_resistance(spark, sf_dir):
     )
 
 
+def rolled_up(spark, sf_dir):
+    """Daily sums of the sets, appended in two batches and summed up after each."""
+    store, sets = TableStore(spark, scratch_path(spark, "store")), typed_sets(spark, sf_dir)
+    early = F.col("date_id") < F.lit(CUTOFF).cast("date")
+    stored = StructType([*sets.schema.fields, s.FACT_STORED["month"]])
+    for half in (early, ~early):
+        store.append_fact(sets.where(half), "warehouse", "fact", *MONTHS, arrange=True)
+        roll_up(store, "warehouse", "fact", "daily", stored, *MONTHS)
+    return store.read("warehouse", "daily", s.DAILY_STORED)
+
+
+@query(
+    f"""WITH {sql.CLEAN_SETS_SQL}, {TABS_SQL}, {sql.FACT_SQL}
+    SELECT {sql.clean('e.exercise_name')} AS exercise_name, y AS calendar_year, m AS calendar_month_number,
+      count(*) AS sets, coalesce(sum(volume), 0) AS volume, CAST(coalesce(max(lifted), 0) AS DOUBLE) AS max_load
+    FROM measured_sets f JOIN exercise_tab e ON f.exercise_id = CAST(e.exercise_id AS BIGINT) GROUP BY 1, 2, 3"""
+)
+def rolled_up_volume(spark, sf_dir):
+    """Volume per exercise and month from the daily sums alone."""
+    report = reports.volume_by_exercise(
+        rolled_up(spark, sf_dir), exercise_dimension(spark, sf_dir), ship_calendar(spark, sf_dir)
+    )
+    return report.withColumns({c: F.col(c).cast("long") for c in reports.MONTH})
+
+
+SPAN = ("1996-11-20", "1998-02-10")
+
+
+@query(
+    f"""WITH {sql.CLEAN_SETS_SQL}, {TABS_SQL}, {sql.FACT_SQL}
+    SELECT resistance_category, count(*) FILTER (WHERE dayofweek(date_id) NOT IN (0, 6)) AS weekday_sets,
+      count(*) FILTER (WHERE dayofweek(date_id) IN (0, 6)) AS weekend_sets
+    FROM measured_sets f JOIN resistance_tab r
+      ON f.resistance_id = CAST(replace(r.resistance_id, 'R', '') AS BIGINT)
+    WHERE date_id BETWEEN '{SPAN[0]}' AND '{SPAN[1]}' GROUP BY 1"""
+)
+def sets_in_span(spark, sf_dir):
+    """Sets per resistance category in a span of days, from the daily sums of its months."""
+    return reports.sets_by_resistance(
+        reports.between(rolled_up(spark, sf_dir), *SPAN, *MONTHS),
+        resistance_dimension(spark, sf_dir),
+        ship_calendar(spark, sf_dir),
+    )
+
+
+@query(
+    f"""WITH {PARTS_SQL}
+    SELECT p.id AS exercise_src_id, e.name AS name_before, p.name AS name_after, 1 AS copies,
+      CASE WHEN e.id IS NULL THEN 'inserted' WHEN {_CHANGED} THEN 'updated' ELSE 'kept' END AS action
+    FROM parts p LEFT JOIN earlier_parts e ON e.id = p.id"""
+)
+def dimension_changes(spark, sf_dir):
+    """What merging the parts into the earlier catalogue does to each of them."""
+    target = dimension(parts(spark, sf_dir, earlier=True))
+    source = parts(spark, sf_dir).select(F.col("exercise_id").alias("exercise_src_id"), *ATTRS)
+    feed = change_feed(target, source, ["exercise_src_id"], ATTRS, surrogate="exercise_id")
+    names = (F.col(f"{side}.exercise_name").alias(f"name_{side}") for side in ("before", "after"))
+    return feed.rows.select("exercise_src_id", *names, F.col("copies").cast("int").alias("copies"), "action")
+
+
 FULL_RANGES = {"calendar_range": ("1995-01-01", "2001-12-31"), "partition_range": ("1995-01-01", "2001-12-31")}
 
 
@@ -514,3 +580,62 @@ def warehouse_rerun(spark, sf_dir):
     run_tabs(spark, {**every, s.WORKOUTS.name: early}, out, EARLIER_BATCH, **FULL_RANGES)
     audit = run_tabs(spark, every, out, BATCH, **FULL_RANGES)["audit"]
     return audit.where(F.col("batch_ts") == moment(BATCH)).select("layer", "table_name", "inserted", "updated")
+
+
+SHORT_CALENDAR = ("1995-01-01", "1998-12-31")
+
+
+@query(
+    f"""WITH {sql.STAGED_SETS_SQL}, {TABS_SQL}, {_CL_IDS}, facts AS (SELECT {_FACT_COLUMNS}),
+    days AS (SELECT count(*) AS n, count(*) FILTER (WHERE date_id <> '1900-01-01'
+      AND date_id NOT BETWEEN '{SHORT_CALENDAR[0]}' AND '{SHORT_CALENDAR[1]}') AS lost FROM facts)
+    SELECT 'fact_workouts' AS table_name, 'date_id' AS column_name, n AS checked, lost AS broken FROM days
+    UNION ALL SELECT 'fact_workouts', 'exercise_id', n, 0 FROM days
+    UNION ALL SELECT 'fact_workouts', 'resistance_id', n, 0 FROM days
+    UNION ALL SELECT 'ce_exercise_muscle', 'exercise_id', count(*), 0 FROM bridge_tab
+    UNION ALL SELECT 'ce_exercise_muscle', 'muscle_id', count(*), 0 FROM bridge_tab"""
+)
+def warehouse_foreign_keys(spark, sf_dir):
+    """Rows checked and found broken per foreign key, after a full run whose calendar ends before the sets do."""
+    out = scratch_path(spark, "warehouse")
+    tables = run_tabs(spark, tabs(spark, sf_dir), out, BATCH, SHORT_CALENDAR, FULL_RANGES["partition_range"])
+    waiting = TableStore(spark, out).read("warehouse", QUARANTINE, s.CL_WORKOUTS)
+    rows = {"fact_workouts": [tables["fact_workouts"], waiting], "ce_exercise_muscle": [tables["ce_exercise_muscle"]]}
+    named = [df.select(F.lit(name).alias("table_name")) for name, parts_ in rows.items() for df in parts_]
+    checked = reduce(DataFrame.unionByName, named).groupBy("table_name").agg(F.count(F.lit(1)).alias("checked"))
+    broken = tables["violations"].groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("broken"))
+    keys = [(table, column, foreign_name(column)) for table, column, _, _ in s.FOREIGN_KEYS]
+    listed = spark.createDataFrame(keys, "table_name string, column_name string, rule string")
+    found = listed.join(checked, "table_name", "left").join(broken, ["table_name", "rule"], "left")
+    return found.select("table_name", "column_name", "checked", F.coalesce("broken", F.lit(0).cast("long")).alias("broken"))
+
+
+@query(
+    f"""WITH {sql.STAGED_SETS_SQL}, {TABS_SQL},
+    known AS (SELECT DISTINCT {sql.clean('exercise_name')} AS exercise, TRUE AS found FROM exercise_tab
+      WHERE TRY_CAST(exercise_id AS BIGINT) % 2 = 0)
+    SELECT 'exercise_id' AS key_column, count(*) AS n_rows, count(*) FILTER (WHERE found IS NULL) AS without_key,
+      0 AS orphans FROM numbered_sets LEFT JOIN known USING (exercise)
+    UNION ALL SELECT 'resistance_id', count(*), count(*) FILTER (WHERE r.resistance_id IS NULL), 0
+    FROM numbered_sets LEFT JOIN resistance_tab r USING (resistance_type)"""
+)
+def warehouse_orphans(spark, sf_dir):
+    """The keys of the cleansed sets of a run that knows half of the exercises: no key may lead nowhere."""
+    out, every = scratch_path(spark, "warehouse"), tabs(spark, sf_dir)
+    every[s.EXERCISES.name] = every[s.EXERCISES.name].where(F.col("ID").cast("long") % 2 == 0)
+    run_tabs(spark, every, out, BATCH, layers=["staging", "cleansing"])
+    cleansed = Run(spark, TableStore(spark, out), BATCH).cleansed()
+    parents = {"cl_exercises": cleansed["exercises"], "cl_resistance_types": cleansed["resistance_types"]}
+    rules = s.RULES["cl_workouts"]
+    marked = judged(cleansed["workouts"], rules, parents)
+    stack = [
+        F.struct(
+            F.lit(c).alias("key_column"),
+            F.col(c).isNull().alias("none"),
+            F.array_contains("_failed", foreign_name(c)).alias("orphan"),
+        )
+        for c, _, _ in rules.foreign
+    ]
+    return marked.select(F.explode(F.array(*stack)).alias("k")).groupBy("k.key_column").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("k.none").alias("without_key"), F.count_if("k.orphan").alias("orphans")
+    )

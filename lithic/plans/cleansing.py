@@ -68,17 +68,18 @@ def load_dimension(
     attrs: Sequence[str],
     batch_ts: datetime | str,
     normalized_key: bool = True,
+    start: int | None = None,
 ) -> DataFrame:
     """Cleansing content of a dimension after a load, cleaned, with action, copies and rule flags.
 
     Duplicates are rows with the same source id and attributes, compared after normalisation or,
-    without ``normalized_key``, as they are; the lowest id stays.
+    without ``normalized_key``, as they are; the lowest id stays. ``start`` is the highest id so far.
     """
     src = staged.select(F.col(surrogate).alias(source_id), *attrs)
     updated = update_from(target, src, [source_id], attrs, batch_ts, normalize=clean_text, action=ACTION)
     columns = {source_id: F.col(source_id), **{a: blank_to(a, MISSING_TEXT) for a in attrs}}
     order = [*numeric_order(source_id), *attrs]
-    fresh = cleansing_insert(target, src, surrogate, columns, [source_id], order, batch_ts, null_safe=True)
+    fresh = cleansing_insert(target, src, surrogate, columns, [source_id], order, batch_ts, null_safe=True, start=start)
     loaded = updated.unionByName(fresh.withColumn(ACTION, F.lit(INSERTED)))
     key = {source_id: F.col(source_id), **{a: normalized(a) if normalized_key else F.col(a) for a in attrs}}
     kept = first_per_key(loaded, key, numeric_order(surrogate), count=COPIES)
@@ -161,13 +162,14 @@ def load_workouts(
     exercises: DataFrame,
     resistance_types: DataFrame,
     batch_ts: datetime | str,
+    start: int | None = None,
 ) -> DataFrame:
     """Workouts to write after a load: the new ones and the earlier ones that still lack a key.
 
     Staged rows are cleaned, reduced to one row per set (the first, which gets the lowest id), and
     those in neither table are numbered. Missing keys of new and pending rows are then looked up by
     name. ``linked`` rows have both keys and never change, so they are read for the comparison only.
-    Bookkeeping: action, copies, and per rule the number of staged rows it changed.
+    ``start`` is the highest id so far. Bookkeeping: action, copies, and per rule the number of staged rows it changed.
     """
     sums = {f"_{rule}": flag for rule, flag in workout_flags().items()}
     rows = clean_workout_rows(staged)
@@ -176,7 +178,7 @@ def load_workouts(
     kept = first_per_key(rows, WORKOUT_KEY, order, count=COPIES, sums=sums).select(*values, COPIES, *sums)
     known = linked.unionByName(pending)
     fresh = kept if known.isEmpty() else anti_join_few(stable(kept), known, WORKOUT_KEY)
-    numbered = assign_keys(fresh, "id", order, highest_key(known, "id"))
+    numbered = assign_keys(fresh, "id", order, highest_key(known, "id") if start is None else start)
     absent = F.lit(None).cast("string")
     new = numbered.withColumns(
         {

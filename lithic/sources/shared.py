@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +36,24 @@ def stable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, counts: Mapping[str, Column] | None) -> tuple[Observation | None, DataFrame]:
+    """``df`` with ``counts`` taken in the stage that writes it, where a retried task counts once."""
+    if not counts:
+        return None, df
+    seen = Observation()
+    return seen, df.observe(seen, *(c.alias(n) for n, c in counts.items()))
+
+
+def values_of(seen: Observation | None) -> dict[str, int]:
+    return {n: v or 0 for n, v in seen.get.items()} if seen else {}
+
+
+def stable_with(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``stable``, and ``counts`` taken while it is written."""
+    seen, df = observed(df, counts)
+    return stable(df), values_of(seen)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -49,3 +68,40 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none when it does not exist."""
     fs, hadoop_path = _file_system(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, text: str, aside: str, path: str) -> bool:
+    """Write a small file ``aside`` and rename it to ``path``; False, and nothing written, if that is there already."""
+    fs, aside_path = _file_system(spark, aside)
+    stream = fs.create(aside_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    to = hadoop.Path(path)
+    context = hadoop.FileContext.getFileContext(fs.makeQualified(to).toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(aside_path), fs.makeQualified(to), options)
+        return True
+    except Exception:
+        fs.delete(aside_path, False)
+        if fs.exists(to):
+            return False
+        raise
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all it holds."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
