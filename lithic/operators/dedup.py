@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lithic.functions.changes import all_of
+from lithic.functions.changes import any_of
 from lithic.functions.text import as_column
 
 
@@ -74,22 +74,18 @@ def drop_duplicates(
 ) -> DataFrame:
     """Keep the first row of each key; rows with NULL in a required column all stay.
 
-    SQL equality never matches NULL, so such rows are nobody's duplicate. ``required`` names the
-    columns to test (default: the key columns when they are plain names); pass ``()`` when none can
-    be NULL, which saves the second branch.
+    SQL equality never matches NULL, so such rows are nobody's duplicate: each gets a tag that makes it a key of its own,
+    and one pass serves both kinds. ``required`` names the columns to test (default: the key columns when they are plain
+    names); pass ``()`` when none can be NULL.
     """
     if required is None:
         required = [] if isinstance(keys, Mapping) else list(keys)
     if not required:
         return first_per_key(df, keys, order, count, sums)
-    complete = all_of(F.col(c).isNotNull() for c in required)
-    kept = first_per_key(df.where(complete), keys, order, count, sums)
-    singles = df.where(~complete)
-    if count:
-        singles = singles.withColumn(count, F.lit(1).cast("long"))
-    for name, value in (sums or {}).items():
-        singles = singles.withColumn(name, value.cast("long"))
-    return kept.unionByName(singles.select(*kept.columns))
+    named = dict(keys) if isinstance(keys, Mapping) else {k: F.col(k) for k in keys}
+    alone = F.when(any_of(F.col(c).isNull() for c in required), F.monotonically_increasing_id())
+    tagged = df.withColumn("_alone", alone)
+    return first_per_key(tagged, {**named, "_alone": F.col("_alone")}, order, count, sums).drop("_alone")
 
 
 def duplicate_report(

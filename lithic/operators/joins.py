@@ -9,18 +9,25 @@ from pyspark.sql import functions as F
 
 from lithic.functions.changes import all_of
 from lithic.functions.text import as_column
-from lithic.sources.shared import stable
+from lithic.sources.shared import stable, stable_with
 
 # A side is broadcast only when its measured values fit in this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Values take at most so many times the bytes of their Parquet files, as lookups have a row per key.
+EXPANSION = 32
 # Types whose values take no more than the overhead that is counted anyway.
 FLAT = frozenset("boolean byte short integer long float double date timestamp timestamp_ntz void".split())
 
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of the values of ``df`` from one aggregate over it, 16 bytes of overhead per value.
 
     Arrays, structs and maps count as long as their JSON text, and 16 bytes for each of its commas.
     """
+    return df.agg(_bytes(df).alias("n")).first()["n"] or 0
+
+
+def _bytes(df: DataFrame) -> Column:
     width = [F.lit(16 * max(1, len(df.columns)))]
     for f in df.schema.fields:
         kind = f.dataType.typeName()
@@ -31,13 +38,44 @@ def measured_bytes(df: DataFrame) -> int:
             width.append(F.octet_length(text) + 16 * (F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))))
         elif kind not in FLAT:
             raise TypeError(f"the size of a {kind} column can't be measured")
-    return df.agg(F.sum(sum(width[1:], width[0]).cast("long")).alias("n")).first()["n"] or 0
+    return F.sum(sum(width[1:], width[0]).cast("long"))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
+def sized(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df``, to be read again at no great cost, and whether its values fit in ``max_bytes``.
+
+    What is read straight from files that are much smaller than that fits by their size; what is merely read is measured
+    by reading it. All else is written once and measured on the way, so that its joins and aggregations don't run twice.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not _merely_read(plan):
+        written, found = stable_with(df, {"bytes": _bytes(df)})
+        return written, found["bytes"] <= max_bytes
+    on_disk = str(plan.stats().sizeInBytes())
+    if _leaf(plan).nodeName().startswith("LogicalRelation") and int(on_disk) * EXPANSION <= max_bytes:
+        return df, True
+    return df, fits_broadcast(df, max_bytes)
+
+
+def _leaf(plan):
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return plan
+
+
+def _merely_read(plan) -> bool:
+    """Whether a plan only filters and computes columns of one table."""
+    while plan.children().size():
+        if plan.nodeName() not in ("Project", "Filter"):
+            return False
+        plan = plan.children().apply(0)
+    return True
+
+
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys with more rows than an even share of a shuffle partition, and over how many salts to spread them.
 
@@ -60,7 +98,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to a lookup that has at most one row per key.
 
-    A lookup whose measured size fits is broadcast. A larger one is joined by shuffle. There the rows
+    A lookup whose size fits is broadcast. A larger one is joined by shuffle. There the rows
     of a hot key (or of NULL keys) are spread over as many salts as the key has shares of a shuffle
     partition, or over ``salts``, and only the lookup's rows of hot keys are repeated. The salt
     depends on the row and its input partition only: equal rows spread too, and a task that is run
@@ -68,7 +106,8 @@ def lookup_join(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join is left, inner, left_semi or left_anti, not {how}")
-    if fits_broadcast(lookup, max_bytes):
+    lookup, small = sized(lookup, max_bytes)
+    if small:
         return left.join(F.broadcast(lookup), list(on), how)
     hot = hot_keys(left, on)
     if salts is not None:
@@ -110,10 +149,9 @@ def anti_join_few(
     matter, so the large table is scanned but not shuffled.
     """
     keyed, mine, theirs = _keyed(left, right, on)
-    keys = keyed.select(*mine)
-    if not fits_broadcast(keys, max_bytes):
+    wanted, small = sized(keyed.select(*mine).distinct(), max_bytes)
+    if not small:
         return anti_join(left, right, on, null_safe)
-    wanted = keys.distinct()
     met = theirs.join(F.broadcast(wanted), _match(wanted, mine, theirs, null_safe), "left_semi").distinct()
     return keyed.join(met, _match(keyed, mine, met, null_safe), "left_anti").select(*left.columns)
 

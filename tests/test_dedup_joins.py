@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from lithic.functions.text import normalized
 from lithic.operators.dedup import drop_duplicates, duplicate_report, first_per_key, numeric_order
 from lithic.operators.joins import (
-    anti_join, anti_join_few, fill_key, hot_keys, lookup_join, match_parents, measured_bytes, orphans,
+    anti_join, anti_join_few, fill_key, hot_keys, lookup_join, match_parents, measured_bytes, orphans, sized,
 )
+from lithic.operators.merge import new_rows
 
 
 def plan(df):
@@ -132,3 +133,36 @@ def test_orphans_of_a_hot_key(spark):
     df = spark.range(50).selectExpr("if(id < 40, 5, id) as k", "id")
     parent = spark.createDataFrame([(41,), (42,)], "p long")
     assert orphans(df, "k", parent, "p").count() == 48
+
+
+def test_rows_with_a_null_key_are_read_once_with_the_others(spark, tmp_path):
+    rows = [(None, k, "x") for k in range(50)] + [(k % 3, k, "y") for k in range(60)]
+    spark.createDataFrame(rows, "k long, id long, a string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for options in ({}, {"count": "n"}):
+        kept = drop_duplicates(df, ["k"], ["id"], **options)
+        assert plan(kept).count("FileScan") == 1
+        got = table(kept.select("k", "id"))
+        assert got == sorted([(None, k) for k in range(50)] + [(0, 0), (1, 1), (2, 2)], key=repr)
+
+
+def test_the_size_of_a_derived_side_is_taken_while_it_is_written(spark, tmp_path):
+    spark.range(100).selectExpr("id as k", "cast(id as string) as name").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plain, small = sized(stored.where("k > 3"))
+    assert small and plain.count() == 96 and "FileScan" in plan(plain) and str(tmp_path) in plan(plain)
+    derived = stored.groupBy("k").agg(F.min("name").alias("name"))
+    written, small = sized(derived)
+    assert small and "Aggregate" not in plan(written) and table(written) == table(derived)
+    assert not sized(derived, 10)[1] and not sized(stored, 10)[1] and not sized(spark.range(99), 10)[1]
+
+
+def test_new_rows_take_one_exchange(spark, rows):
+    old = rows("k,a", ("1", "x"), (None, "z"))
+    src = rows("k,a,n", ("1", "y", "1"), ("2", "b", "3"), ("2", "a", "2"), (None, "q", "1"), ("3", None, None), ("3", None, None))
+    fresh = new_rows(old, src, ["k"], ["n"])
+    assert table(fresh) == [("2", "a", "2"), ("3", None, None)] and fresh.columns == ["k", "a", "n"]
+    assert plan(fresh).count("Exchange") == 1
+    assert table(new_rows(old, src, ["k", "a"], ["n"]), "k", "a") == sorted(
+        [("1", "y"), ("2", "b"), ("2", "a"), (None, "q"), ("3", None)], key=repr
+    )
