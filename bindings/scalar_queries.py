@@ -22,7 +22,7 @@ from lithic.plans import schemas as s
 from lithic.plans.cleansing import WORKOUT_DEFAULTS, WORKOUT_RULES, clean_workout_rows, workout_flags
 from lithic.plans.staging import conform_tab
 from lithic.sources.shared import scratch_path
-from lithic.sources.tabs import read_tab
+from lithic.sources.tabs import read_records, read_tab
 
 SETS = f"WITH {SETS_SQL}"
 CLEAN = f"WITH {sql.CLEAN_SETS_SQL}"
@@ -222,6 +222,51 @@ def tab_round_trip(spark, sf_dir):
     return stamp(rows, BATCH, updated=False).withColumn("created_at", time_text("created_at"))
 
 
+def _exported(spark, sf_dir):
+    return raw_sets(spark, sf_dir).withColumnsRenamed({c: h for h, c in s.WORKOUTS.headers.items()})
+
+
+def _stamped_records(spark, folder):
+    rows, _ = read_records(spark, folder, s.WORKOUTS.name, headers=tuple(s.WORKOUTS.headers))
+    return stamp(conform_tab(rows, s.WORKOUTS)[0], BATCH, updated=False).withColumn("created_at", time_text("created_at"))
+
+
+@query(f"{SETS} SELECT {_COLUMNS}, '{BATCH}' AS created_at FROM raw_sets")
+def tab_round_trip_json(spark, sf_dir):
+    """The workouts tab exported as JSON lines and read back."""
+    folder = scratch_path(spark, "tabs")
+    _exported(spark, sf_dir).write.json(f"{folder}/{s.WORKOUTS.name}.json")
+    return _stamped_records(spark, folder)
+
+
+@query(f"{SETS} SELECT {_COLUMNS}, '{BATCH}' AS created_at FROM raw_sets")
+def tab_round_trip_parquet(spark, sf_dir):
+    """The workouts tab exported as Parquet and read back."""
+    folder = scratch_path(spark, "tabs")
+    _exported(spark, sf_dir).write.parquet(f"{folder}/{s.WORKOUTS.name}.parquet")
+    return _stamped_records(spark, folder)
+
+
+@query(
+    f"""{SETS} SELECT CASE WHEN set_number = '7' THEN 'unread' ELSE 'read' END AS kind, count(*) AS n_records,
+      sum(CAST(workout_number AS BIGINT))::BIGINT AS workouts FROM raw_sets GROUP BY 1"""
+)
+def unread_records(spark, sf_dir):
+    """Records read and not read from an export in which the lines of all seventh sets are cut off before their end."""
+    folder, exported = scratch_path(spark, "tabs"), _exported(spark, sf_dir)
+    line = F.to_json(F.struct(*exported.columns))
+    cut = F.when(F.col("Set") == "7", F.expr("substr(line, 1, length(line) - 1)")).otherwise(F.col("line"))
+    exported.select("Set", line.alias("line")).select(cut.alias("value")).write.text(f"{folder}/{s.WORKOUTS.name}.json")
+    rows, lost = read_records(spark, folder, s.WORKOUTS.name, headers=tuple(s.WORKOUTS.headers))
+    number = F.regexp_extract("record", '"Workout number":"([0-9]+)"', 1)
+    both = rows.select(F.lit("read").alias("kind"), F.col("Workout number").alias("number")).unionByName(
+        lost.select(F.lit("unread").alias("kind"), number.alias("number"))
+    )
+    return both.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum(F.col("number").cast("long")).alias("workouts")
+    )
+
+
 @query(
     f"{CLEAN} SELECT "
     + ", ".join(f"CAST(count(*) FILTER (WHERE chg_{r}) AS BIGINT) AS {r}" for r in WORKOUT_RULES)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lithic.plans.schemas import TEXT, table as schema_of
 from lithic.sources.tables import TableStore
-from lithic.sources.tabs import read_tab
+from lithic.sources.tabs import read_records, read_tab
 
 CSV = 'ID,Muscle name,Muscle groups\n1,"Chest, ""upper""\npart",\n2, Back ,Torso\n'
 SCHEMA = schema_of(k=TEXT)
@@ -62,3 +62,36 @@ def test_append(spark, rows, tmp_path):
     assert store.append(rows("k", ("a",)), "l", "t", {"inserted": F.count(F.lit(1))}) == {"inserted": 1}
     store.append(rows("k", ("b",)), "l", "t")
     assert table(store.read_appended("l", "t", SCHEMA)) == [("a",), ("b",)]
+
+
+def test_ragged_and_unreadable_records_are_kept_with_their_place(spark, tmp_path):
+    lines = ["ID,Muscle name,Muscle groups", "1,Chest,Torso", "2,short", '3,"a, ""b""",', "4,too,many,cells", "", '5,"open']
+    (tmp_path / "Muscles.csv").write_text("\n".join(lines) + "\n")
+    rows, lost = read_records(spark, str(tmp_path), "Muscles")
+    assert table(rows) == [("1", "Chest", "Torso"), ("3", 'a, "b"', "")]
+    assert sorted(r.record for r in lost.collect()) == ["2,short", "4,too,many,cells", '5,"open']
+    assert {(r.tab, r.file.endswith("/Muscles.csv"), r.block) for r in lost.collect()} == {("Muscles", True, 0)}
+    assert table(rows.select("ID")) == [("1",), ("3",)] and lost.count() == 3  # whatever columns are wanted
+    (tmp_path / "A.json").write_text('{"ID": 1, "Name": "x", "more": [1]}\n{"ID": 2\nnothing\n{"Name": "y"}\n')
+    rows, lost = read_records(spark, str(tmp_path), "A", headers=("ID", "Name"))
+    assert table(rows) == [("1", "x"), (None, "y")]
+    assert sorted(r.record for r in lost.collect()) == ["nothing", '{"ID": 2']
+    spark.range(2).write.parquet(str(tmp_path / "B.parquet"))
+    rows, lost = read_records(spark, str(tmp_path), "B")
+    assert rows.count() == 2 and lost.count() == 0
+
+
+def test_line_breaks_need_multi_line_and_one_task(spark, tmp_path):
+    (tmp_path / "Muscles.csv").write_text(CSV)
+    assert table(read_records(spark, str(tmp_path), "Muscles", multi_line=True)[0]) == [("1", 'Chest, "upper"\npart', ""), ("2", " Back ", "Torso")]
+    assert read_records(spark, str(tmp_path), "Muscles")[1].count() == 2
+    (tmp_path / "Big.csv").write_text("ID,Name\n" + "".join(f"{k},name {k}\n" for k in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        assert read_tab(spark, str(tmp_path), "Big", multi_line=False).rdd.getNumPartitions() > 3
+        rows, lost = read_records(spark, str(tmp_path), "Big")
+        assert rows.count() == 20000 and lost.count() == 0
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
