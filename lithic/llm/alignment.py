@@ -14,7 +14,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lithic.sources.shared import scratch_path
+from lithic.sources.shared import scratch_path, stable
 
 #: Documents and links of a block, at most (a longer text is a block of its own), and bytes of texts taken at once.
 DOCS, LINKS, BYTES = 8192, 4_000_000, 1 << 20
@@ -54,8 +54,7 @@ class Pair:
         with open(ranks, "rb") as file:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.left = tiktoken.Encoding("left", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.slow = Tokenizer.from_file(json)
-        self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.json, self.slow = json, None
         self.right = sentencepiece.SentencePieceProcessor(model_file=model)
         left = [b""] * (max(table.values()) + 1)
         for data, i in table.items():
@@ -73,6 +72,9 @@ class Pair:
 
     def encode_left(self, text: str) -> list[int]:
         if LONG_SPACE.search(text):
+            if self.slow is None:  # few texts need it
+                self.slow = Tokenizer.from_file(self.json)
+                self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.left.encode_ordinary(text)
 
@@ -87,36 +89,38 @@ class Pair:
         return out
 
 
-@lru_cache(maxsize=2)
-def tokenizers(ranks: str, json: str, model: str) -> Pair:
-    """Built once per worker; the files must be readable by every worker."""
-    return Pair(ranks, json, model)
-
-
 class Aligned:
     """The links and groups of a list of texts, all worked out at once."""
 
     def __init__(self, both: Pair, texts: list[str | None]):
         encoded = both.encode(texts)
         self.n = [np.array([len(x[side]) for x in encoded], np.int64) for side in (0, 1)]
-        ids = [np.fromiter((i for x in encoded for i in x[side]), np.int64, int(self.n[side].sum())) for side in (0, 1)]
+        ids = [
+            np.fromiter(chain.from_iterable([x[side] for x in encoded]), np.int64, int(self.n[side].sum()))
+            for side in (0, 1)
+        ]
         ends = [np.cumsum(both.sizes[side][ids[side]]) for side in (0, 1)]
         stop = np.concatenate([[0], np.cumsum(self.n[0])])
         last = np.where(stop > 0, np.concatenate([[0], ends[0]])[stop], 0)[1:]  # where each text ends
-        cuts = np.union1d(*ends)
-        where = [np.searchsorted(x, cuts) for x in ends]
-        self.pairs = ids[0][where[0]] * len(both.bytes[1]) + ids[1][where[1]]
-        self.text_of = np.searchsorted(last, cuts)
-        self.n_links = np.bincount(self.text_of, minlength=len(texts))[: len(texts)]
-        shared = np.intersect1d(*ends, assume_unique=True)
-        self.n_groups = np.diff(np.searchsorted(shared, last, "right"), prepend=0)
-        self.digests = self._digests(both, ids, [np.searchsorted(shared, x) for x in ends])
+        # Which bytes end a token of either side, and how many tokens have ended before each byte.
+        cut = [np.zeros(int(last[-1]) + 1, bool) for _ in ends]
+        for side in (0, 1):
+            cut[side][ends[side]] = True
+        before = [np.cumsum(x) - x for x in cut]
+        cuts = np.flatnonzero(cut[0] | cut[1])
+        self.pairs = ids[0][before[0][cuts]] * len(both.bytes[1]) + ids[1][before[1][cuts]]
+        self.n_links = np.diff(np.searchsorted(cuts, last, "right"), prepend=0)
+        self.text_of = np.repeat(np.arange(len(texts)), self.n_links)
+        both_cut = cut[0] & cut[1]
+        self.n_groups = np.diff(np.searchsorted(np.flatnonzero(both_cut), last, "right"), prepend=0)
+        group = np.cumsum(both_cut) - both_cut
+        self.digests = self._digests(both, ids, [group[x] for x in ends])
 
     def _digests(self, both: Pair, ids: list[np.ndarray], groups: list[np.ndarray]) -> list[str]:
-        at = [
-            np.arange(len(ids[0])) + np.searchsorted(groups[1], groups[0]),
-            np.arange(len(ids[1])) + np.searchsorted(groups[0], groups[1], "right"),
-        ]
+        # A group has its tokens of A, then those of B: both stand behind those of the groups before.
+        upto = [np.cumsum(np.bincount(x, minlength=1)) for x in groups]
+        ahead = np.concatenate([[0], upto[1]])
+        at = [np.arange(len(ids[0])) + ahead[groups[0]], np.arange(len(ids[1])) + upto[0][groups[1]]]
         line = np.zeros(len(ids[0]) + len(ids[1]), "S8")
         for side in (0, 1):
             closes = np.diff(groups[side], append=-1) != 0
@@ -219,10 +223,13 @@ class Block:
 
 
 def postings(docs: DataFrame, files: tuple[str, str, str], key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """What is known of every document by itself, and the planes of every pair in every block; both are written once."""
+    """What is known of every document by itself, and the planes of every pair in every block; both are written once.
+
+    The files must be readable by every worker. A task holds the tokenizers as long as it runs.
+    """
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, number, block = tokenizers(*files), TaskContext.get().partitionId() << 32, Block()
+        both, number, block = Pair(*files), TaskContext.get().partitionId() << 32, Block()
         for keys, texts in portions(batches):
             block.add(both, keys, texts)
             if len(block.heads) >= DOCS - PORTION or block.links >= LINKS:
@@ -322,7 +329,8 @@ def align(docs: DataFrame, files: tuple[str, str, str], key: str = "doc_id", tex
     table gives an empty result; other columns are not looked at.
     """
     heads, posted = postings(docs, files, key, text)
-    counts = pair_counts(posted, tokenizers(*files).right.vocab_size())
+    width = sentencepiece.SentencePieceProcessor(model_file=files[2]).vocab_size()
+    counts = stable(pair_counts(posted, width))
     most = counts.groupBy("b").agg(F.max("links").alias("most"))
     scores = counts.join(most, "b").select("pair", "links", (F.col("links") == F.col("most")).alias("best"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)

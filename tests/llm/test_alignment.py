@@ -127,7 +127,7 @@ def test_bitmaps_round_trip():
 
 
 def test_planes_of_a_block_hold_every_count():
-    block, both = alignment.Block(), alignment.tokenizers(*FILES)
+    block, both = alignment.Block(), alignment.Pair(*FILES)
     texts = ["the " * k for k in range(1, 700)]
     for at in range(0, len(texts), 100):
         block.add(both, list(range(at, at + len(texts[at : at + 100]))), texts[at : at + 100])
