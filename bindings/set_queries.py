@@ -14,7 +14,11 @@ from lithic.functions.text import blank_to, normalized
 from lithic.operators.checks import foreign_key_violations, key_violations, length_violations, null_violations
 from lithic.operators.dedup import distinct_rows, drop_duplicates, duplicate_report, numeric_order
 from lithic.operators.joins import anti_join, fill_key, lookup_join, match_parents, orphans
+from lithic.plans import schemas as s
 from lithic.plans.cleansing import WORKOUT_KEY, clean_workout_rows
+from lithic.plans.key_index import index_keys, keys_near
+from lithic.sources.shared import scratch_path
+from lithic.sources.tables import TableStore, number_mark
 
 SETS = f"WITH {SETS_SQL}"
 CLEAN = f"WITH {sql.CLEAN_SETS_SQL}"
@@ -168,6 +172,30 @@ def anti_source_id(spark, sf_dir):
     return anti_join(orders, shipped, {"src_id": (F.col("src_id"), text("l_orderkey"))})
 
 
+# The number of a line is made of its order's key and its place in the order; keys in a bucket of the index.
+LINE_KEYS, KEY_WIDTH = 8, 100_000
+
+
+@query(
+    f"""WITH keyed AS (SELECT CAST({LINE_KEYS} * l_orderkey + l_linenumber AS VARCHAR) AS src_id, l_quantity, l_shipdate
+      FROM lineitem)
+    SELECT src_id, l_quantity FROM keyed k WHERE NOT EXISTS (
+      SELECT 1 FROM keyed e WHERE e.src_id = k.src_id AND e.l_shipdate < TIMESTAMP '{CUTOFF} 00:00:00')"""
+)
+def anti_indexed(spark, sf_dir):
+    """Lines that two earlier loads do not hold, found in the buckets of the lines' keys alone."""
+    key = text(F.lit(LINE_KEYS) * F.col("l_orderkey") + F.col("l_linenumber")).alias("src_id")
+    lines = read(spark, sf_dir, "lineitem").select(key, "l_linenumber", "l_quantity", "l_shipdate")
+    store, schema = TableStore(spark, scratch_path(spark, "store")), s.table(src_id=s.TEXT)
+    for half in (F.col("l_linenumber") <= 2, F.col("l_linenumber") > 2):
+        earlier = lines.where(half & (F.col("l_shipdate") < F.lit(CUTOFF).cast("date"))).select("src_id")
+        store.append(earlier, "warehouse", "lines", marks=number_mark("src_id"))
+    index_keys(store, "warehouse", "lines", "keys", schema, "src_id", KEY_WIDTH)
+    known = keys_near(store, "warehouse", "keys", "src_id", lines, "src_id", KEY_WIDTH)
+    wanted = lines.select("src_id", "l_quantity")
+    return wanted if known is None else anti_join(wanted, known, ["src_id"])
+
+
 @query(
     f"{CLEAN} SELECT workout_number, date, set_number, exercise, reps, load FROM unique_sets s WHERE NOT EXISTS ("
     ' SELECT 1 FROM clean_sets t WHERE t.earlier AND t.workout_number = s.workout_number AND t."date" = s."date"'
