@@ -44,6 +44,9 @@ _SECTION = (frozenset(["tbody", "thead", "tfoot", "tr", "td", "th", "caption", "
 IMPLIED |= dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup"), _SECTION)
 #: Spans beyond these are read as these.
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
+#: Cells are aligned up to this column; beyond it they follow two spaces after the text before, so that a long cell
+#: doesn't widen every line of its table.
+MOST_ALIGNED = 1000
 #: Elements nested deeper are placed in the last one that isn't.
 DEPTH = 512
 
@@ -53,7 +56,9 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
+#: Elements that visibility "collapse" takes out of their table; others are hidden by it.
+COLLAPSING = frozenset("tr tbody thead tfoot col colgroup".split())
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -146,16 +151,33 @@ class TreeBuilder:
         return self.root
 
 
-def is_visible(node: Node) -> bool:
-    """Whether an element is laid out at all."""
+def declared(node: Node) -> dict[str, str]:
+    """What an element's style says of display and visibility; the last word counts."""
+    style = node.attributes.get("style")
+    return {name.lower(): value.lower() for name, value in DECLARED.findall(style)} if style else {}
+
+
+def is_laid_out(node: Node) -> bool:
+    """Whether an element, with all inside it, has a place on the page."""
     given = node.attributes
-    if node.name in HIDDEN or ("hidden" in given and given["hidden"].lower() != "until-found"):
+    if node.name in HIDDEN and not (node.name == "object" and not given.keys() & {"data", "type"}):
+        return False  # an object that shows nothing of its own has its content shown
+    if "hidden" in given and given["hidden"].lower() != "until-found":
         return False
-    if "style" in given and UNSEEN.search(given["style"]):
+    style = declared(node)
+    if style.get("display") == "none" or (style.get("visibility") == "collapse" and node.name in COLLAPSING):
         return False
     return not (node.name == "dialog" and "open" not in given)
 
 
+def is_shown(node: Node, around: bool) -> bool:
+    """Whether the text of an element is to be seen, given whether that around it is. It keeps its place if not."""
+    said = declared(node).get("visibility")
+    if said in ("hidden", "collapse"):
+        return False
+    return True if said in ("visible", "initial") else around
+
+
 class Layout:
     """Lines of text that grow as a page is walked through."""
 
@@ -218,10 +240,14 @@ def number(text: str | None, least: int, most: int, otherwise: int) -> int:
 
 
 def render(root: Node) -> list[str]:
-    """Lines of all visible text. Works with a stack, so deep nesting can't exhaust it."""
+    """Lines of all visible text. Works with a stack, so deep nesting can't exhaust it.
+
+    What is hidden by its visibility keeps its place, and elements inside it may turn it on again.
+    """
     out = Layout()
-    # What is to be done, last first: a node, a text, or a call that ends an element.
-    stack: list = [(root, False)]
+    # What is to be done, last first: a node or a text, with whether spaces are kept and whether text is shown, or a call
+    # that ends an element.
+    stack: list = [(root, (False, True))]
     outer: list[Layout] = []
     counters: list[list[int] | None] = []
 
@@ -229,34 +255,37 @@ def render(root: Node) -> list[str]:
         stack.append((call, None))
 
     while stack:
-        item, pre = stack.pop()
-        if pre is None:
+        item, state = stack.pop()
+        if state is None:
             item()
             continue
+        pre, shown = state
         if isinstance(item, str):
-            out.kept(item) if pre else out.inline(item)
+            if shown:
+                out.kept(item) if pre else out.inline(item)
             continue
         name = item.name
-        if not is_visible(item):
+        if not is_laid_out(item):
             continue
+        shown = is_shown(item, shown)
         if name == "br":
             out.break_line(always=True)
             continue
         if name == "hr":
             out.block(1)
-            out.line = "----"
+            out.line = "----" if shown else ""
             out.block(1)
             continue
         if name == "input":
-            if item.attributes.get("type", "text").lower() in ("submit", "button", "reset"):
+            if shown and item.attributes.get("type", "text").lower() in ("submit", "button", "reset"):
                 out.inline(item.attributes.get("value", ""))
             continue
         if name == "img":
-            out.inline(item.attributes.get("alt", ""))
+            out.inline(item.attributes.get("alt", "") if shown else "")
             continue
         if name == "table":
             out.block(1)
-            cells, grid, caption = table_cells(item)
+            cells, grid, caption = table_cells(item, shown)
             texts: dict[int, list[str]] = {}
             target = out
 
@@ -272,8 +301,10 @@ def render(root: Node) -> list[str]:
                 out.block(1)
 
             ends(finish)
-            parts = ([(-1, caption)] if caption else []) + [(k, cell) for k, cell in enumerate(cells)]
-            for k, cell in reversed(parts):
+            parts = ([(-1, caption, is_shown(caption, shown))] if caption else []) + [
+                (k, cell, seen) for k, (cell, seen) in enumerate(cells)
+            ]
+            for k, cell, seen in reversed(parts):
                 inner = Layout()
 
                 def leave(k=k, inner=inner, texts=texts) -> None:
@@ -284,7 +315,7 @@ def render(root: Node) -> list[str]:
                     out = inner
 
                 ends(leave)
-                stack.extend((child, pre) for child in reversed(cell.children))
+                stack.extend((child, (pre, seen)) for child in reversed(cell.children))
                 ends(enter)
             continue
         children = item.children
@@ -305,11 +336,12 @@ def render(root: Node) -> list[str]:
                 counter = counters[-1] if counters else None
                 if counter:
                     counter[0] = number(item.attributes.get("value"), -(10**8), 10**8, counter[0])
-                    out.marker = f"{counter[0]}. "
+                    marker = f"{counter[0]}. "
                     counter[0] += counter[1]
                 else:
-                    out.marker = "- "
-                out.prefix.append(" " * len(out.marker))
+                    marker = "- "
+                out.prefix.append(" " * len(marker))
+                out.marker = marker if shown else ""
             elif name in ("blockquote", "dd"):
                 out.prefix.append("  ")
 
@@ -326,28 +358,31 @@ def render(root: Node) -> list[str]:
             children = [children[0][1:], *children[1:]]
         elif name == "q":
             children = ["“", *children, "”"]
-        stack.extend((child, keeps) for child in reversed(children))
+        stack.extend((child, (keeps, shown)) for child in reversed(children))
     return out.result()
 
 
-def table_cells(table: Node) -> tuple[list[Node], list[list[tuple[int, int, int, int]]], Node | None]:
-    """Cells of a table, their places (row, column, columns, cell number) by row, and its caption.
+def table_cells(
+    table: Node, shown: bool = True
+) -> tuple[list[tuple[Node, bool]], list[list[tuple[int, int, int, int]]], Node | None]:
+    """Cells of a table with whether they are shown, their places (row, column, columns, cell number) by row, its caption.
 
     Whatever stands in a table outside a cell forms a cell of its own row.
     """
-    cells: list[Node] = []
+    cells: list[tuple[Node, bool]] = []
     grid: list[list[tuple[int, int, int, int]]] = []
     caption, taken = None, {}
 
-    def row(children: list[Node | str]) -> None:
+    def row(children: list[Node | str], shown: bool) -> None:
         here, column = len(grid), 0
         grid.append([])
         for child in children:
             if isinstance(child, str) and not child.strip():
                 continue
             cell = child if isinstance(child, Node) else Node("td", {}, [child])
-            if not is_visible(cell):
+            if not is_laid_out(cell):
                 continue
+            seen = is_shown(cell, shown)
             if cell.name not in ("td", "th"):
                 cell = Node("td", {}, [cell])
             while taken.get(column, 0) > here:
@@ -357,25 +392,26 @@ def table_cells(table: Node) -> tuple[list[Node], list[list[tuple[int, int, int,
             for k in range(column, column + across):
                 taken[k] = here + down
             grid[-1].append((here, column, across, len(cells)))
-            cells.append(cell)
+            cells.append((cell, seen))
             column += across
 
-    pending = list(reversed(table.children))
+    pending = [(child, shown) for child in reversed(table.children)]
     while pending:
-        child = pending.pop()
+        child, around = pending.pop()
         if isinstance(child, str):
             if child.strip():
-                row([child])
+                row([child], around)
         elif child.name == "caption":
-            caption = caption or (child if is_visible(child) else None)
+            caption = caption or (child if is_laid_out(child) else None)
         elif child.name in ("thead", "tbody", "tfoot"):
-            if is_visible(child):
-                pending.extend(reversed(child.children))
+            if is_laid_out(child):
+                inside = is_shown(child, around)
+                pending.extend((x, inside) for x in reversed(child.children))
         elif child.name == "tr":
-            if is_visible(child):
-                row(child.children)
-        elif child.name not in ("colgroup", "col") and is_visible(child):
-            row([child])
+            if is_laid_out(child):
+                row(child.children, is_shown(child, around))
+        elif child.name not in ("colgroup", "col") and is_laid_out(child):
+            row([child], around)
     return cells, grid, caption
 
 
@@ -402,7 +438,8 @@ def aligned(grid: list[list[tuple[int, int, int, int]]], texts: dict[int, list[s
             for _, column, _, cell in cells:
                 lines = texts.get(cell, [])
                 if at < len(lines) and lines[at]:
-                    line = line.ljust(starts[column]) + lines[at]
+                    apart = line + "  " if line and starts[column] > MOST_ALIGNED else line
+                    line = apart.ljust(min(starts[column], MOST_ALIGNED)) + lines[at]
             yield line
 
 
@@ -415,7 +452,8 @@ def extracted(pages: DataFrame, html: str = "html", into: str = "text") -> DataF
     """Add the visible text ``into`` of each whole page.
 
     A null or empty page has an empty text; any other input is read as far as it makes sense, as browsers do. Equal pages
-    get equal texts. A column of the name ``into`` is replaced, all others stay.
+    get equal texts. Texts of any length are read whole, in one task each. A drop-down list and what only browsers without
+    scripts show are left out. A column of the name ``into`` is replaced, all others stay.
     """
 
     @F.pandas_udf("string")

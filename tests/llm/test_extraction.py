@@ -33,6 +33,17 @@ CASES = {
     "<head><title>T</title>\n<script>s</script>Hello <b>x</b>": "Hello x",
     "<head><noscript><link><body>Hello": "Hello",
     "<head><template><body>no</template><title>T</title></head>yes": "yes",
+    '<span style="visibility:hidden">a<span style="visibility:visible">b</span></span>c': "bc",
+    "<ul style='visibility: hidden'><li>no<li style='visibility:visible'>yes<li>no</ul>end": "- yes\n\nend",
+    "<ol><li style='visibility:hidden'>a<b style='visibility:visible'>b</b><li>c</ol>": "   b\n2. c",
+    "<div style='visibility:hidden'>a<img alt=p><input type=submit value=v><hr></div>z": "z",
+    "<p style='display:none;display:block'>a<p style='visibility:visible; visibility:hidden'>b": "a",
+    "<div style='display:none'>a<b style='visibility:visible;display:block'>b</b></div>c": "c",
+    "<table><tr><td style='visibility:hidden'>aa<td>x<tr><td>b<td>y</table>": "   x\nb  y",
+    "<table><tr style='visibility:collapse'><td>a<td>x<tr><td>b<td>y</table>": "b  y",
+    "<table><tbody style='visibility:hidden'><tr><td>a<td style='visibility:visible'>x</table>": "x",
+    "<table style='visibility:hidden'><caption>c</caption><tr><td>a</table>z": "z",
+    "<object><p>instead</p></object><object data=x>no</object><object type=y>no</object>": "instead",
 }
 
 
@@ -57,6 +68,15 @@ def test_long_pages_take_time_in_proportion():
     assert extract('<a href="' + "x" * 200000) in ("", '<a href="' + "x" * 200000)
 
 
+def test_long_cells_are_whole_and_widen_no_other_line():
+    page = "<table><tr><td>" + "word " * 100000 + "<td>x<tr><td>y<td>" + "<br>".join(map(str, range(20000))) + "</table>"
+    text = extract(page)
+    lines = text.split("\n")
+    assert lines[0].split() == ["word"] * 100000 + ["x"] and lines[1] == "y".ljust(1000) + "0" and len(lines) == 20001
+    assert [line.split()[-1] for line in lines[1:]] == [str(k) for k in range(20000)]
+    assert len(text) <= len(page) + 1002 * len(lines)
+
+
 def test_columns(spark):
     rows = [(1, None, "mine"), (2, "", "mine"), (3, "<p>a", "mine"), (3, "<p>a", "mine")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
