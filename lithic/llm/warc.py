@@ -37,13 +37,15 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.concat(*parts), DIGITS, BASE32)
 
 
-def deduplicate(records: DataFrame, min_bytes: int = 0) -> DataFrame:
+def deduplicate(records: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Add payload_digest, payload_bytes, record_type and refers_to (an id) to records (id, uri, payload).
 
     Of the records with equal payloads of ``min_bytes`` or more, that with the largest id is the response and the others
     revisit it; smaller payloads are all responses. Only ids and digests are shuffled to find this out, the payload moves
     once, to the archive that will hold it. A null payload counts as empty. A record with a null id is a response that
-    nothing refers to. Rows that repeat an id and its payload have the same fate.
+    nothing refers to; such records are spread by address and input partition, so they don't gather in one archive. Rows
+    that repeat an id and its payload have the same fate and the same archive. Other columns are left out; an empty
+    table has no records. A payload is held whole by one task, so it has to stay below the 2 GB of a value in Spark.
     """
     payload = F.coalesce(F.col("payload").cast("binary"), F.lit(b""))
     full = records.select(
@@ -63,10 +65,14 @@ def deduplicate(records: DataFrame, min_bytes: int = 0) -> DataFrame:
         .select("id", "payload_digest", F.col("last.id").alias("refers_to"), F.col("last.uri").alias("refers_to_uri"))
         .distinct()
     )
-    size = heads.agg(F.sum("payload_bytes").alias("n")).first()["n"] or 0
-    dealt = full.repartition(max(1, -(-size // ARCHIVE_BYTES)), "id", "payload_digest")
     kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")
-    return dealt.join(revisits, ["id", "payload_digest"], "left").withColumn("record_type", kind)
+    size = full.agg(F.sum("payload_bytes").alias("n")).first()["n"] or 0
+    # Dealt by the very columns of the join, which then moves no payload again.
+    own = F.xxhash64("id", "payload_digest")
+    spread = F.when(F.col("id").isNull(), F.xxhash64("uri", F.spark_partition_id())).otherwise(own)
+    on = ["deal", "id", "payload_digest"]
+    dealt = full.withColumn("deal", spread).repartition(max(1, -(-size // archive_bytes)), *on)
+    return dealt.join(revisits.withColumn("deal", own), on, "left").drop("deal").withColumn("record_type", kind)
 
 
 def header(name: str, value: Column) -> Column:

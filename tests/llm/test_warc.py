@@ -6,6 +6,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from lithic.llm import warc
 from lithic.sources.shared import scratch_path
@@ -58,6 +59,22 @@ def test_repeated_rows_and_empty_tables(spark):
     assert warc.resolve(warc.read_archives(spark, path)).count() == 0
 
 
+def test_records_without_ids_fill_as_many_archives_as_others(spark):
+    ids = spark.range(0, 400, 1, 8).selectExpr(
+        "if(id < 200, id, null) as id", "cast(id as string) as uri", "repeat('same', 250) as payload", "1 as more"
+    )
+    dealt = warc.deduplicate(ids, min_bytes=10**6, archive_bytes=20_000)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("payload#") and sum("Exchange hashpartitioning(deal" in x for x in plan.split("\n")) <= 2, plan
+    path = scratch_path(spark, "warc")
+    warc.write_archives(dealt, path)
+    sizes = [r["n"] for r in spark.read.text(path, lineSep="WARC/1.1").selectExpr("_metadata.file_name as f").groupBy("f")
+             .agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 60
+    out = warc.read_archives(spark, path)
+    assert out.count() == 400 and out.where("record_type = 'response' and intact and payload_bytes = 1000").count() == 400
+
+
 def test_reads_archives_of_others(spark, tmp_path):
     def record(kind, extra, block):
         head = f"WARC/1.0\r\nWARC-Type: {kind}\r\n{extra}Content-Length: {len(block)}\r\n\r\n".encode()
