@@ -6,15 +6,20 @@ import re
 from zlib import crc32
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from test_minhash import brute, sets
 from test_mixing import WORD, wanted
+from test_neighbours import brute as nearest
+from test_quality import brute as counted
+from test_warc import digest
 
 import __spark_entry__ as entry
 from check_oracle import compare
+from lithic.llm import mixing
 from lithic.llm.extraction import extract
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,6 +50,13 @@ def test_folds_of_op2_and_op4(spark, name, of, held):
         assert all(r.predicted == (r.score >= 0.5) for r in got)
 
 
+def test_op3_counts_the_words_of_every_document(spark):
+    want = [(i, *counted(text)) for i, text in rows_of("documents", "doc_id", "text")]
+    got = run(spark, "op3_compression_bands")
+    assert sorted(tuple(r)[:7] for r in got) == sorted(want)
+    assert not any(r.base_failed and r.kept for r in got) and any(r.kept for r in got)
+
+
 def test_digests_of_op5_are_those_of_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     want = []
@@ -76,6 +88,37 @@ def test_op7_has_targets_and_sizes_of_every_document_without_python(spark):
         assert (row["size"], row.source_size) == (size, sizes[source]) and row.target == pytest.approx(target[source])
 
 
+    taken = dict.fromkeys(target, 0)
+    for row in got:
+        assert 0 <= row.taken <= 2 * row["size"]
+        taken[docs[row.doc_id][1]] += row.taken
+    for source in target:  # a shard each, as the table is small
+        assert abs(taken[source] - target[source]) <= 2 * mixing.BLOCK, source
+
+
+def test_op8_finds_nine_tenths_of_the_nearest_and_scores_them_exactly(spark):
+    rows = {i: np.array(v, float) for i, v in rows_of("embeddings", "vec_id", "embedding")}
+    want, got = nearest(rows, lambda i: i % 20 == 0, 20), {}
+    for r in sorted(run(spark, "op8_one_bit_codes"), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.rank == len(got[r.query_id]) and r.score == pytest.approx(float(rows[r.query_id] @ rows[r.vec_id]), rel=1e-12)
+    assert {i: len(x) for i, x in got.items()} == {i: len(x) for i, x in want.items()}
+    found = sum(len({j for j, _ in want[i]} & set(got[i])) for i in want)
+    assert found >= 0.9 * sum(map(len, want.values()))
+
+
+def test_op9_has_a_record_of_every_page(spark):
+    pages = [(i, (html or "").encode()) for i, html in rows_of("pages", "page_id", "html")]
+    last = {}
+    for i, data in pages:
+        last[data] = max(i, last.get(data, i))
+    want = [
+        (i, len(data), digest(data), "response" if last[data] == i else "revisit", None if last[data] == i else last[data])
+        for i, data in pages
+    ]
+    assert sorted(map(tuple, run(spark, "op9_warc_revisits"))) == sorted(want)
+
+
 def test_op10_agrees_with_brute_force(spark):
     docs = rows_of("documents", "doc_id", "text")
     root = brute(docs)
