@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The missing-text marker and the characters that cleaning keeps.
 MISSING_TEXT = "N/A"
-SPECIAL_CHARACTERS = r"[^0-9A-Za-z\s\-\.,]"
+# They are listed one by one: Java looks those up in one table of bits, but tests a class of ranges range by range, for
+# each character of a text.
+SPECIAL_CHARACTERS = rf"[^ \t\n\x0B\f\r\-.,{string.digits}{string.ascii_letters}]"
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 

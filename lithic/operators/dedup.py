@@ -15,6 +15,10 @@ from lithic.functions.changes import any_of
 from lithic.functions.text import as_column
 
 
+# Types whose equal values are the same value, unlike 0.0 and -0.0 or text under a collation.
+EXACT = frozenset("boolean tinyint smallint int bigint date timestamp timestamp_ntz string binary".split())
+
+
 def distinct_rows(df: DataFrame, columns: Mapping[str, Column] | None = None) -> DataFrame:
     """Distinct rows over computed ``columns`` (or over the rows as they are)."""
     return (df.select(*(c.alias(n) for n, c in columns.items())) if columns else df).distinct()
@@ -28,7 +32,7 @@ def numeric_order(col: Column | str) -> list[Column]:
 
 def first_per_key(
     df: DataFrame,
-    keys: Mapping[str, Column] | Sequence[str],
+    keys: Mapping[str, Column | str] | Sequence[str],
     order: Sequence[Column | str],
     count: str | None = None,
     sums: Mapping[str, Column] | None = None,
@@ -37,24 +41,30 @@ def first_per_key(
 
     ``keys`` may be computed; only the columns of ``df`` come back. Ties in ``order`` are broken by
     the remaining columns, so the result does not depend on the physical order of rows. ``count``
-    adds the number of rows of the key, ``sums`` totals over them.
+    adds the number of rows of the key, ``sums`` totals over them. Keys and order given by name are not
+    copied, so a row is sorted and shuffled with each of its values once.
     """
-    named = dict(keys) if isinstance(keys, Mapping) else {k: F.col(k) for k in keys}
-    grouping = {f"_key{i}": c for i, c in enumerate(named.values())}
-    ranking = {f"_order{i}": as_column(c) for i, c in enumerate(order)}
-    keyed = df.withColumns({**grouping, **ranking})
+    by = {f"_key{i}": k for i, k in enumerate(keys.values() if isinstance(keys, Mapping) else keys)}
+    grouping = [k if isinstance(k, str) else n for n, k in by.items()]
+    keyed = df.withColumns({n: k for n, k in by.items() if not isinstance(k, str)})
+    same = {c for c, type_name in df.dtypes if c in grouping and type_name in EXACT}
+    ranked = {o: i for i, o in enumerate(order) if isinstance(o, str) and o in df.columns}
+    rest = [c for c in df.columns if c not in same and c not in ranked]
     if not (count or sums):
         # Spark limits each group to its first row per task before the shuffle (WindowGroupLimit).
-        rank = F.row_number().over(Window.partitionBy(*grouping).orderBy(*ranking, *df.columns))
+        ranking = [as_column(o) for o in order] + [F.col(c) for c in rest] or [F.col(c) for c in grouping]
+        rank = F.row_number().over(Window.partitionBy(*grouping).orderBy(*ranking))
         return keyed.withColumn("_rank", rank).where("_rank = 1").select(*df.columns)
-    totals = _totals(count, sums)
+    totals, first = _totals(count, sums), F.col("_first")
+    values = [as_column(o).alias(f"_order{i}") for i, o in enumerate(order)] + [F.col(c) for c in rest]
+    found = {c: F.col(c) if c in same else first.getField(f"_order{ranked[c]}" if c in ranked else c) for c in df.columns}
     return (
         keyed.groupBy(*grouping)
         .agg(
-            F.min(F.struct(*ranking, F.struct(*df.columns).alias("_row"))).alias("_first"),
+            F.min(F.struct(*(values or [F.lit(0).alias("_order")]))).alias("_first"),
             *(total.alias(n) for n, total in totals.items()),
         )
-        .select("_first._row.*", *totals)
+        .select(*(c.alias(n) for n, c in found.items()), *totals)
     )
 
 
@@ -82,10 +92,10 @@ def drop_duplicates(
         required = [] if isinstance(keys, Mapping) else list(keys)
     if not required:
         return first_per_key(df, keys, order, count, sums)
-    named = dict(keys) if isinstance(keys, Mapping) else {k: F.col(k) for k in keys}
+    named = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     alone = F.when(any_of(F.col(c).isNull() for c in required), F.monotonically_increasing_id())
     tagged = df.withColumn("_alone", alone)
-    return first_per_key(tagged, {**named, "_alone": F.col("_alone")}, order, count, sums).drop("_alone")
+    return first_per_key(tagged, {**named, "_alone": "_alone"}, order, count, sums).drop("_alone")
 
 
 def duplicate_report(

@@ -15,6 +15,10 @@ from lithic.sources.shared import stable, stable_with
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Values take at most so many times the bytes of their Parquet files, as lookups have a row per key.
 EXPANSION = 32
+# A shuffled lookup is hashed rather than sorted if its values take no more than this in an even shuffle partition.
+HASHED_BYTES = 16 * 1024 * 1024
+# Buckets per shuffle partition in which keys are counted in search of hot ones.
+HASH_BUCKETS = 64
 # Types whose values take no more than the overhead that is counted anyway.
 FLAT = frozenset("boolean byte short integer long float double date timestamp timestamp_ntz void".split())
 
@@ -46,7 +50,13 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def sized(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``df``, to be read again at no great cost, and whether its values fit in ``max_bytes``.
+    """``df``, to be read again at no great cost, and whether its values fit in ``max_bytes``; see ``weighed``."""
+    df, n = weighed(df, max_bytes)
+    return df, n <= max_bytes
+
+
+def weighed(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """``df``, to be read again at no great cost, and the bytes of its values, 0 if their files are small enough.
 
     What is read straight from files that are much smaller than that fits by their size; what is merely read is measured
     by reading it. All else is written once and measured on the way, so that its joins and aggregations don't run twice.
@@ -54,11 +64,11 @@ def sized(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, b
     plan = df._jdf.queryExecution().optimizedPlan()
     if not _merely_read(plan):
         written, found = stable_with(df, {"bytes": _bytes(df)})
-        return written, found["bytes"] <= max_bytes
+        return written, found["bytes"]
     on_disk = str(plan.stats().sizeInBytes())
     if _leaf(plan).nodeName().startswith("LogicalRelation") and int(on_disk) * EXPANSION <= max_bytes:
-        return df, True
-    return df, fits_broadcast(df, max_bytes)
+        return df, 0
+    return df, measured_bytes(df)
 
 
 def _leaf(plan):
@@ -76,14 +86,32 @@ def _merely_read(plan) -> bool:
     return True
 
 
+def has_hot_keys(df: DataFrame, on: Sequence[str]) -> bool:
+    """Whether a key may have more rows than an even share of a shuffle partition: False only if none has.
+
+    Keys are counted by buckets of their hashes, which a task sums up before the shuffle however many keys there are.
+    """
+    partitions = _partitions(df)
+    bucket = F.pmod(F.xxhash64(*on), F.lit(HASH_BUCKETS * partitions)).alias("_bucket")
+    top = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
+    return (top[0] or 0) > _share(top[1], partitions)
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _share(rows: int | None, partitions: int) -> int:
+    return max(1, -(-(rows or 0) // partitions))
+
+
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys with more rows than an even share of a shuffle partition, and over how many salts to spread them.
 
     There are fewer of them than partitions, whatever the data.
     """
     counts = stable(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1, -(-(counts.agg(F.sum("_rows")).first()[0] or 0) // partitions))
+    share = _share(counts.agg(F.sum("_rows")).first()[0], _partitions(df))
     hot = counts.where(F.col("_rows") > share)
     return hot.select(*(F.col(c).alias(f"_hot{i}") for i, c in enumerate(on)), F.ceil(F.col("_rows") / share).alias("_salts"))
 
@@ -98,7 +126,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to a lookup that has at most one row per key.
 
-    A lookup whose size fits is broadcast. A larger one is joined by shuffle. There the rows
+    A lookup whose size fits is broadcast. A larger one is joined by shuffle, and hashed where its partitions are small,
+    so that the rows of ``left`` need no sorting. If there are hot keys, the rows
     of a hot key (or of NULL keys) are spread over as many salts as the key has shares of a shuffle
     partition, or over ``salts``, and only the lookup's rows of hot keys are repeated. The salt
     depends on the row and its input partition only: equal rows spread too, and a task that is run
@@ -106,9 +135,11 @@ def lookup_join(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join is left, inner, left_semi or left_anti, not {how}")
-    lookup, small = sized(lookup, max_bytes)
-    if small:
+    lookup, size = weighed(lookup, max_bytes)
+    if size <= max_bytes:
         return left.join(F.broadcast(lookup), list(on), how)
+    if salts is None and not has_hot_keys(left, on):
+        return left.join(lookup.hint("shuffle_hash" if size <= HASHED_BYTES * _partitions(left) else "merge"), list(on), how)
     hot = hot_keys(left, on)
     if salts is not None:
         hot = hot.withColumn("_salts", F.lit(salts).cast("long"))
@@ -158,9 +189,10 @@ def anti_join_few(
 
 def _keyed(left: DataFrame, right: DataFrame, on: Pairs) -> tuple[DataFrame, list[str], DataFrame]:
     """``left`` with its key columns, their names, and the key columns of ``right`` alone."""
-    pairs = on if isinstance(on, Mapping) else {c: (F.col(c), F.col(c)) for c in on}
-    mine = {f"_left{i}": a for i, (a, _) in enumerate(pairs.values())}
-    theirs = right.select(*(b.alias(f"_right{i}") for i, (_, b) in enumerate(pairs.values())))
+    if not isinstance(on, Mapping):
+        return left, list(on), right.select(*(F.col(c).alias(f"_right{i}") for i, c in enumerate(on)))
+    mine = {f"_left{i}": a for i, (a, _) in enumerate(on.values())}
+    theirs = right.select(*(b.alias(f"_right{i}") for i, (_, b) in enumerate(on.values())))
     return left.withColumns(mine), list(mine), theirs
 
 

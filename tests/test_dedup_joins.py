@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lithic.functions.text import normalized
 from lithic.operators.dedup import drop_duplicates, duplicate_report, first_per_key, numeric_order
 from lithic.operators.joins import (
-    anti_join, anti_join_few, fill_key, hot_keys, lookup_join, match_parents, measured_bytes, orphans, sized,
+    anti_join, anti_join_few, fill_key, has_hot_keys, hot_keys, lookup_join, match_parents, measured_bytes, orphans, sized,
 )
 from lithic.operators.merge import new_rows
 
@@ -165,3 +165,38 @@ def test_new_rows_are_the_first_of_keys_that_the_target_lacks(spark, rows):
     assert table(new_rows(old, src, ["k", "a"], ["n"]), "k", "a") == sorted(
         [("1", "y"), ("2", "b"), ("2", "a"), (None, "q"), ("3", None)], key=repr
     )
+
+
+def test_keys_and_order_given_by_name_are_not_copied(spark):
+    df = spark.range(100).selectExpr("id % 7 as k", "cast(id as string) as o", "id as v")
+    for options in ({}, {"count": "n"}):
+        text = plan(first_per_key(df, ["k"], ["o"], **options))
+        assert "_key0" not in text and "hashpartitioning(k#" in text
+        assert table(first_per_key(df, ["k"], ["o"], **options), "k", "o") == [
+            (k, min(str(v) for v in range(k, 100, 7))) for k in range(7)
+        ]
+    assert "_order0" not in plan(first_per_key(df, ["k"], ["o"]))
+    assert "_left0" not in plan(anti_join(df, df.where("v < 9"), ["k"]))
+
+
+def test_first_per_key_of_keys_alone_and_of_signed_zeros(spark):
+    keys = spark.createDataFrame([(1, None), (1, None), (2, "a")], "k long, t string")
+    for options in ({}, {"count": "n"}):
+        assert table(first_per_key(keys, ["k", "t"], ["t"], **options), "k", "t") == [(1, None), (2, "a")]
+        assert table(first_per_key(keys, ["k", "t"], [], **options), "k", "t") == [(1, None), (2, "a")]
+        zeros = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "k double, v long")
+        assert [str(r["k"]) for r in first_per_key(zeros, ["k"], ["v"], **options).collect()] == ["-0.0"]
+
+
+def test_a_large_lookup_is_salted_only_if_there_are_hot_keys(spark):
+    even = spark.range(4000).selectExpr("id % 1000 as k", "id")
+    hot = spark.range(4000).selectExpr("if(id < 3000, 7, id) as k", "id")
+    lookup = spark.range(1000).selectExpr("id as k", "cast(id as string) as name")
+    assert not has_hot_keys(even, ["k"]) and has_hot_keys(hot, ["k"])
+    assert has_hot_keys(even.selectExpr("if(id < 3000, null, k) as k"), ["k"])
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        plain, salted = (lookup_join(df, lookup, ["k"], how, max_bytes=0) for df in (even, hot))
+        assert "_salt" not in plan(plain) and "_salt" in plan(salted)
+        assert "ShuffledHashJoin" in plan(plain) and "BroadcastHashJoin" not in plan(plain)
+        for df, joined in ((even, plain), (hot, salted)):
+            assert table(joined) == table(df.join(lookup, "k", how).select(*joined.columns))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -100,3 +101,10 @@ def test_month_label(spark):
     label = lambda c: dates.month_label(c, "2025-07-01", "2030-12-31")
     days = [date(2025, 6, 30), date(2025, 7, 1), date(2030, 12, 31), date(2031, 1, 1), date(1900, 1, 1)]
     assert values(spark, label, *days, kind="date") == ["default", "2025_07", "2030_12", "default", "default"]
+
+
+def test_special_characters_are_tested_in_one_table(spark):
+    assert not re.search(r"\\s|\\w|\\d|[0-9A-Za-z]-[0-9A-Za-z]", text.SPECIAL_CHARACTERS)
+    every = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x10300), 0x1F600]))
+    kept = re.sub(r"[^0-9A-Za-z \t\n\x0b\f\r\-.,]", "", every)
+    assert values(spark, text.strip_special, every, "Bench\tpress, no. 1-a!#\u00a0é") == [kept, "Bench\tpress, no. 1-a"]
