@@ -29,7 +29,7 @@ from lithic.plans import reports
 from lithic.plans import schemas as s
 from lithic.plans.rollup import roll_up
 from lithic.plans.run import QUARANTINE, Run, run_tabs
-from lithic.sources.shared import scratch_path
+from lithic.sources.shared import scratch_path, stable
 from lithic.sources.tables import TableStore, append
 
 PAIR = ["exercise_src_id", "muscle_src_id"]
@@ -477,8 +477,11 @@ def sets_by_resistance(spark, sf_dir):
 
 
 def rolled_up(spark, sf_dir):
-    """Daily sums of the sets, appended in two batches and summed up after each."""
-    store, sets = TableStore(spark, scratch_path(spark, "store")), typed_sets(spark, sf_dir)
+    """Daily sums of the sets, appended in two batches and summed up after each.
+
+    The sets are written once, so that the batches don't clean them and remove their duplicates twice.
+    """
+    store, sets = TableStore(spark, scratch_path(spark, "store")), stable(typed_sets(spark, sf_dir))
     early = F.col("date_id") < F.lit(CUTOFF).cast("date")
     stored = StructType([*sets.schema.fields, s.FACT_STORED["month"]])
     for half in (early, ~early):

@@ -7,8 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bindings import merge_queries
 from bindings.registry import ORACLES, QUERIES
 from check_oracle import TABLES, compare
+from lithic.sources.tables import TableStore
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the test tables are not here")
@@ -43,3 +45,12 @@ def test_every_query_has_sql_and_the_flagship_runs(spark):
     assert QUERIES.keys() <= entry.queries().keys()
     assert entry.oracle_sql().keys() <= entry.queries().keys()
     assert entry.entry(spark).count() > 0
+
+
+def test_rolled_up_sets_are_made_once(spark, monkeypatch):
+    """Both batches of the daily sums read the sets as they were written, instead of cleaning and ranking them again."""
+    plans, append = [], TableStore.append_fact
+    monkeypatch.setattr(TableStore, "append_fact", lambda self, df, *a, **k: plans.append(df) or append(self, df, *a, **k))
+    merge_queries.rolled_up(spark, SF_DIR)
+    batches = [str(df._jdf.queryExecution().executedPlan()) for df in plans if "reps" in df.columns and "sets" not in df.columns]
+    assert len(batches) == 2 and not any("Window" in plan or "Join" in plan for plan in batches)
