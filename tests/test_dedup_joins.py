@@ -8,7 +8,9 @@ from lithic.operators.dedup import drop_duplicates, duplicate_report, first_per_
 from lithic.operators.joins import (
     anti_join, anti_join_few, fill_key, has_hot_keys, hot_keys, lookup_join, match_parents, measured_bytes, orphans, sized,
 )
+from lithic.operators.keys import assign_keys
 from lithic.operators.merge import new_rows
+from lithic.sources.shared import stable
 
 
 def plan(df):
@@ -200,3 +202,29 @@ def test_a_large_lookup_is_salted_only_if_there_are_hot_keys(spark):
         assert "ShuffledHashJoin" in plan(plain) and "BroadcastHashJoin" not in plan(plain)
         for df, joined in ((even, plain), (hot, salted)):
             assert table(joined) == table(df.join(lookup, "k", how).select(*joined.columns))
+
+
+def test_keys_far_beyond_a_broadcast_are_not_collected_first(spark, monkeypatch):
+    left = spark.range(2000).selectExpr("cast(id as string) as k", "id")
+    right = spark.range(0, 2000, 3).selectExpr("cast(id as string) as k")
+    monkeypatch.setattr("lithic.operators.joins.weighed", lambda *_: 1 / 0)
+    few = anti_join_few(left, right, ["k"], max_bytes=1000)
+    assert few.count() == 1333 and table(few) == table(anti_join(left, right, ["k"]))
+
+
+def test_first_per_key_gives_the_wanted_columns_alone(spark):
+    df = spark.createDataFrame([(1, "b", True), (1, "a", True), (2, "c", False)], "k long, v string, f boolean")
+    kept = first_per_key(df, ["k"], (), count="n", sums={"hits": F.col("f")}, columns=["k", "v"])
+    assert kept.columns == ["k", "v", "n", "hits"] and table(kept) == [(1, "a", 2, 2), (2, "c", 1, 0)]
+    assert "f, f#" not in plan(kept)
+    assert table(first_per_key(df, ["k"], (), columns=["v", "k"])) == [("a", 1), ("c", 2)]
+    text = plan(first_per_key(df.withColumn("id", F.lit("7")), ["k"], numeric_order("id")))
+    assert "_order1" not in text and len(numeric_order("id")) == 2
+
+
+def test_numbers_are_given_without_copies_of_named_columns(spark, monkeypatch):
+    seen, keep = [], stable
+    monkeypatch.setattr("lithic.operators.keys.stable", lambda df: seen.append(plan(df)) or keep(df))
+    df = spark.range(20).selectExpr("cast(20 - id as string) as k")
+    numbered = assign_keys(df, "n", numeric_order("k"), start=5)
+    assert table(numbered) == sorted([(str(i), 5 + i) for i in range(1, 21)], key=repr) and "_order1" not in seen[0]
