@@ -7,15 +7,18 @@ import pytest
 from conftest import table
 from pyspark.sql import functions as F
 
+from lithic.operators import fact
 from lithic.operators.dedup import first_per_key, first_per_key_of_table
 from lithic.operators.joins import anti_join, anti_join_few
 from lithic.operators.merge import new_rows, new_rows_of_tables
+from lithic.plans import cleansing
 from lithic.plans.run import run_tabs
 from lithic.plans.staging import stage_new_rows
 from lithic.plans import schemas as s
 from lithic.sources.shared import SHUFFLE_CLEANUP, child_names, passing_tables, shared_folder, stable
+from lithic.sources.tables import TableStore
 
-FIRST = "2025-08-03 06:00:00"
+FIRST, SECOND, THIRD = "2025-08-03 06:00:00", "2025-08-04 06:00:00", "2025-08-05 06:00:00"
 
 
 def plan_of(df):
@@ -94,3 +97,31 @@ def test_passing_tables_are_those_of_the_block(spark):
     assert kept.count() == 3
     with pytest.raises(Exception):
         spark.read.parquet(*outer.inputFiles())
+
+
+def test_a_load_reads_no_part_that_an_earlier_one_has_taken_in(spark, tmp_path, monkeypatch):
+    seen = []
+    load_workouts, load_fact = cleansing.load_workouts, fact.load_fact
+
+    def workouts(linked, pending, staged, *rest):
+        seen.append(staged.count())
+        return load_workouts(linked, pending, staged, *rest)
+
+    def facts(src, *rest, **options):
+        seen.append(src.count())
+        return load_fact(src, *rest, **options)
+
+    monkeypatch.setattr(cleansing, "load_workouts", workouts)
+    monkeypatch.setattr(fact, "load_fact", facts)
+    tabs, out = fixtures.tabs(spark), str(tmp_path / "out")
+    run_tabs(spark, tabs, out, FIRST)
+    run_tabs(spark, tabs, out, SECOND)
+    new = ("9", "2025-08-01", "1", "Squat", "2", "100", "Band", "", "", "", 99)
+    tabs["Workouts"] = tabs["Workouts"].unionByName(spark.createDataFrame([new], tabs["Workouts"].schema))
+    for _ in range(2):  # the second time as a batch that is repeated
+        last = run_tabs(spark, tabs, out, THIRD)
+    # Seven sets, six of them different and two of these pending; nothing; the new one; nothing again.
+    assert seen[:4] == [7, 6, 0, 2] and seen[4] == 1 and seen[6] == 0
+    assert last["fact_workouts"].count() == 7
+    store = TableStore(spark, out)
+    assert store.covered("cleansing", "cl_workouts_pending") == 4 and store.covered("warehouse", "fact_workouts") == 4
